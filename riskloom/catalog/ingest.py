@@ -30,11 +30,11 @@ def scan_limit(spark, d):
     return rows.select("TransactionID", "TransactionAmt")
 
 
-@query("latest_batch", """SELECT event_id, value, CAST(ts AS DATE) AS batch_date FROM events
+@query("latest_batch", """SELECT event_id, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date FROM events
 WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
 def latest_batch(spark, d):
     rows = views.events(spark, d).select("event_id", "value", F.col("ts").cast("date").alias("batch_date"))
-    return readers.latest_batch(rows)
+    return readers.latest_batch(rows).withColumn("batch_date", F.col("batch_date").cast("string"))
 
 
 @query("read_json_log", """SELECT event_type, count(*) AS n, max(event_id) AS newest FROM events GROUP BY event_type""")
