@@ -52,7 +52,7 @@ FROM l WINDOW w AS (PARTITION BY l_suppkey ORDER BY dt RANGE BETWEEN 2592000 PRE
 def rolling_peer_stats(spark, d):
     rows = views.table(spark, d, "lineitem").select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        F.expr("timestampdiff(SECOND, timestamp_ntz'1990-01-01 00:00:00', l_shipdate)").alias("dt"),
+        views.clock("l_shipdate", "1990-01-01").alias("dt"),
     )
     out = rolling.rolling_user_stats(rows, "l_suppkey", "l_extendedprice", "dt", [], 30 * DAY, ties="peers")
     return out.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "tx_count", "total_amount")

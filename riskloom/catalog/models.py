@@ -1 +1,120 @@
-"""Registered queries."""
+"""Model jobs: training, tuning, scoring, attributions, evaluation, retraining.
+
+The ensembles here are smaller than the default configuration; the rows are the whole tables.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from riskloom.catalog import query
+from riskloom.catalog.sql import TXN, keyed, sql
+from riskloom.config import DEFAULT
+from riskloom.functions.scalars import confidence, decision
+from riskloom.operators import metrics, model
+from riskloom.plans.features import add_temporal
+from riskloom.plans import jobs
+from riskloom.plans.train import evaluate, fit, prepare
+from riskloom.session import shared_path
+from riskloom.sources import views
+
+SMALL_MODEL = DEFAULT.with_(n_trees=5, max_depth=3, learning_rate=0.3, use_smote=False, column_sample=1.0)
+SMALL_TRIALS = tuple({**t, "n_trees": max(2, t["n_trees"] // 60), "max_depth": t["max_depth"] // 2} for t in model.TRIALS)
+
+
+def light_features(spark, d):
+    """Transactions with temporal parts and no rolling windows."""
+    return add_temporal(views.txn(spark, d).drop("ingest_seq")).withColumnRenamed("TransactionAmt", "amount")
+
+
+def _fitted(spark, d, cfg=SMALL_MODEL):
+    processed, params = prepare(light_features(spark, d), cfg)
+    return processed, params, fit(processed, params, cfg)
+
+
+def _part(processed, split):
+    return processed.where(F.col("split") == split)
+
+
+@query("train_model")
+def train_model(spark, d):
+    """Validation scores of a model trained on oversampled rows."""
+    processed, params, fitted = _fitted(spark, d, SMALL_MODEL.with_(use_smote=True, oversample_method="random"))
+    rows = model.score(fitted, _part(processed, "val"), params.features, ["isFraud"])
+    return metrics.prf_scores(rows, "isFraud", "score", 0.5)
+
+
+@query("tune_trials")
+def tune_trials(spark, d):
+    processed, params = prepare(light_features(spark, d), SMALL_MODEL)
+    _, trials = model.tune(_part(processed, "train"), _part(processed, "val"), params.features, SMALL_MODEL, SMALL_TRIALS)
+    return spark.createDataFrame(trials)
+
+
+@query("random_search")
+def random_search(spark, d):
+    processed, params = prepare(light_features(spark, d), SMALL_MODEL)
+    draws = [{**x, "n_trees": x["n_trees"] // 50 + 1, "max_depth": x["max_depth"] // 2 + 1} for x in model.search_draws(2)]
+    _, results = model.random_search(_part(processed, "train"), "TransactionID", params.features, SMALL_MODEL, draws)
+    return spark.createDataFrame(results)
+
+
+@query("score")
+def score(spark, d):
+    processed, params, fitted = _fitted(spark, d)
+    rows = model.score(fitted, processed, params.features, ["TransactionID", "isFraud", "split"])
+    return rows.withColumns({"prediction": decision(F.col("score")), "confidence": confidence(F.col("score"))})
+
+
+@query("tree_attributions")
+def tree_attributions(spark, d):
+    """Attribution totals next to the score they must explain: 1 / (1 + exp(-2 margin)) = score."""
+    processed, params, fitted = _fitted(spark, d)
+    path = shared_path(spark, "model")
+    model.save_model(fitted, path)
+    scored = model.score(fitted, processed, params.features, ["TransactionID", *[f"`{f}`" for f in params.features]])
+    out = model.tree_attributions(scored, path, params.features, ["TransactionID", "score"])
+    return out.select(
+        "TransactionID", "score", "base", "margin", (1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))).alias("explained_score")
+    )
+
+
+@query("linear_attributions", sql(TXN, keyed(), "m AS (SELECT avg(TransactionAmt) AS ma, avg(hour) AS mh FROM keyed)", """c AS (
+  SELECT TransactionID, 'amount' AS feature, 0.02::DOUBLE * (TransactionAmt - ma) AS contribution FROM keyed, m
+  UNION ALL SELECT TransactionID, 'hour', -0.1::DOUBLE * (hour - mh) FROM keyed, m)""",
+  body="SELECT TransactionID, feature, round(contribution, 9) AS contribution FROM c"))
+def linear_attributions(spark, d):
+    rows = light_features(spark, d)
+    means = rows.agg(F.avg("amount").alias("amount"), F.avg("hour").alias("hour")).first().asDict()
+    contributions = model.linear_attributions(rows, {"amount": 0.02, "hour": -0.1}, means)
+    return rows.select("TransactionID", F.explode(contributions).alias("feature", "c")).select(
+        "TransactionID", "feature", F.round("c", 9).alias("contribution")
+    )
+
+
+@query("evaluation_report")
+def evaluation_report(spark, d):
+    processed, params, fitted = _fitted(spark, d)
+    report = evaluate(fitted, processed, params, SMALL_MODEL).report
+    return report.select("metrics.*", F.to_json("global_importance").alias("global_importance"))
+
+
+@query("local_explanations")
+def local_explanations(spark, d):
+    processed, params, fitted = _fitted(spark, d)
+    rows = evaluate(fitted, processed, params, SMALL_MODEL).explanations
+    return rows.withColumn("contributions", F.to_json("contributions"))
+
+
+@query("retrain_job")
+def retrain_job(spark, d):
+    """Shifted batch, drift check, retraining and the log row of the run."""
+    folder = shared_path(spark, "retrain")
+    rows = views.txn(spark, d).drop("ingest_seq")
+    jobs.generate_batch(rows, f"{folder}/batches", "2024-02-01", 1.0, SMALL_MODEL)
+    logged = jobs.drift_then_retrain(
+        spark, rows, f"{folder}/batches", folder, "2024-02-01", SMALL_MODEL, now=datetime(2024, 2, 1, 12)
+    )
+    return logged.select("trigger_reason", "old_f1", "new_f1", "promoted", "notes")

@@ -46,10 +46,10 @@ def recent_latency(spark, d):
   avg(CASE WHEN prediction = 'FRAUD' THEN 1 ELSE 0 END) AS rate FROM predictions GROUP BY ALL)""",
   body="SELECT hour_start, rate, CASE WHEN rate >= 0.06 THEN 'red' WHEN rate >= 0.04 THEN 'yellow' ELSE 'green' END AS severity FROM h"))
 def rate_severity(spark, d):
-    hours = views.prediction_log(spark, d).groupBy(F.date_trunc("hour", "timestamp").alias("h")).agg(
+    hours = views.prediction_log(spark, d).groupBy(F.window("timestamp", "1 hour")["start"].alias("h")).agg(
         F.avg((F.col("prediction") == "FRAUD").cast("int")).alias("rate")
     )
-    return hours.select(F.unix_seconds(F.col("h").cast("timestamp")).alias("hour_start"), "rate", scalars.rate_severity(F.col("rate")).alias("severity"))
+    return hours.select(views.clock("h", "1970-01-01").alias("hour_start"), "rate", scalars.rate_severity(F.col("rate")).alias("severity"))
 
 
 # --- drift history ----------------------------------------------------------------------------------------
@@ -137,10 +137,10 @@ def retrain_gate(spark, d):
 @query("metric_points", sql(PREDICTIONS, body="""SELECT 'fraud_rate' AS target, avg(CASE WHEN prediction = 'FRAUD' THEN 1 ELSE 0 END) AS value,
   epoch_ms(date_trunc('hour', "timestamp")) AS ts_ms FROM predictions GROUP BY date_trunc('hour', "timestamp")"""))
 def metric_points(spark, d):
-    hours = views.prediction_log(spark, d).groupBy(F.date_trunc("hour", "timestamp").alias("h")).agg(
+    hours = views.prediction_log(spark, d).groupBy(F.window("timestamp", "1 hour")["start"].alias("h")).agg(
         F.avg((F.col("prediction") == "FRAUD").cast("int")).alias("rate"), F.count(F.lit(1)).cast("double").alias("total")
     )
-    ms = (F.unix_seconds(F.col("h").cast("timestamp")) * 1000).cast("double")
+    ms = (views.clock("h", "1970-01-01") * 1000).cast("double")
     documents = hours.select(
         F.to_json(F.array(*[
             F.struct(F.lit(t).alias("target"), F.array(F.array(F.col(c), ms)).alias("datapoints"))
@@ -161,7 +161,7 @@ def _windows_sql(hours: int) -> str:
 
 
 def windows_out(df):
-    return df.select(F.unix_seconds(F.col("window_start").cast("timestamp")).alias("window_start"), "total", "frauds", "fraud_rate")
+    return df.select(views.clock("window_start", "1970-01-01").alias("window_start"), "total", "frauds", "fraud_rate")
 
 
 @query("tumbling_rate", _windows_sql(1))

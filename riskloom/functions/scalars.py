@@ -12,6 +12,11 @@ from riskloom.config import DAY, HOUR
 MICRO = 1_000_000
 
 
+def columns_of(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of a frame, quoted: one-hot names such as ``P_emaildomain_gmail.com`` hold dots."""
+    return [F.col(f"`{c}`") for c in df.columns if c not in without]
+
+
 def to_micro(amount: Column) -> Column:
     return F.round(amount * F.lit(float(MICRO))).cast("bigint")
 

@@ -130,7 +130,7 @@ def drift_pivot(log: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def numbered_in_time(df: DataFrame, ts: str, *order: str) -> DataFrame:
     """Add ``seq``, 1..n in time order: hours are numbered on their own and start from the hours before."""
-    rows = df.withColumn("_hour", F.date_trunc("hour", F.col(ts)))
+    rows = df.withColumn("_hour", F.window(F.col(ts), "1 hour")["start"])
     sizes = rows.groupBy("_hour").agg(F.count(F.lit(1)).alias("_c"))  # one short row per hour
     before = Window.partitionBy(F.lit(0)).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_hour", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
@@ -151,11 +151,22 @@ def panel_points(payloads: DataFrame, column: str, target: str) -> DataFrame:
     return points.select("target", F.col("p")[0].alias("value"), F.col("p")[1].cast("bigint").alias("ts_ms"))
 
 
-def windowed_rate(scored: DataFrame, ts: str, prediction: str, length: str, slide: str | None = None) -> DataFrame:
-    """Volume and fraud share per time window; the same expression serves batch and stream."""
-    span = F.window(F.col(ts), length, slide) if slide else F.window(F.col(ts), length)
+def windowed_rate(
+    scored: DataFrame, ts: str, prediction: str, length: str, slide: str | None = None, stepwise: bool = True
+) -> DataFrame:
+    """Volume and fraud share per time window.
+
+    Sliding windows are built from counts per slide step, so rows are not copied into every window they
+    fall in. ``stepwise=False`` is the single-aggregate form that update-mode streams need.
+    """
     hit = (F.col(prediction) == "FRAUD").cast("int")
-    return scored.groupBy(span.alias("w")).agg(F.count(F.lit(1)).alias("total"), F.sum(hit).alias("frauds")).select(
+    steps = F.window(F.col(ts), length, slide) if slide and not stepwise else F.window(F.col(ts), slide or length)
+    rows = scored.groupBy(steps.alias("w")).agg(F.count(F.lit(1)).alias("total"), F.sum(hit).alias("frauds"))
+    if slide and stepwise:
+        rows = rows.groupBy(F.window(F.window_time("w"), length, slide).alias("w")).agg(
+            F.sum("total").alias("total"), F.sum("frauds").alias("frauds")
+        )
+    return rows.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total", "frauds",
         (F.col("frauds") / F.col("total")).alias("fraud_rate"),
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.functions.scalars import hash32
+from riskloom.functions.scalars import columns_of, hash32
 
 _B = "_bucket"
 
@@ -171,5 +171,5 @@ def numbered(df: DataFrame, row_id: str, seed: int, salt: str, name: str = "row_
     offsets = sizes.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     place = Window.partitionBy("_p").orderBy("_h", row_id)
     return rows.join(F.broadcast(offsets), "_p").select(
-        *df.columns, (F.col("_off") + F.row_number().over(place) - 1).cast("bigint").alias(name)
+        *columns_of(df), (F.col("_off") + F.row_number().over(place) - 1).cast("bigint").alias(name)
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import DEFAULT, Config
-from riskloom.functions.scalars import hash32
+from riskloom.functions.scalars import columns_of, hash32
 from riskloom.operators.cleaning import DataValidationError
 from riskloom.operators.ranks import at_or_before, numbered, rank_cuts
 
@@ -105,5 +105,5 @@ def random_oversample(df: DataFrame, row_id: str, cfg: Config = DEFAULT) -> Data
     draws = df.sparkSession.range(n_new).select(
         F.col("id").alias("copy_no"), F.floor(u * F.lit(m)).cast("bigint").alias("row_index")
     )
-    copies = draws.join(indexed, "row_index").select(*df.columns, "copy_no")
+    copies = draws.join(indexed, "row_index").select(*columns_of(df), "copy_no")
     return df.withColumn("copy_no", F.lit(None).cast("bigint")).unionByName(copies)

@@ -21,9 +21,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def clock(ts: str = "ts") -> Column:
-    """Whole seconds since 2024-01-01."""
-    return F.expr(f"timestampdiff(SECOND, timestamp_ntz'2024-01-01 00:00:00', {ts})")
+def clock(ts: str = "ts", origin: str = "2024-01-01") -> Column:
+    """Whole seconds since midnight of ``origin``; plain timestamps read the same in every session zone."""
+    days = F.datediff(F.col(ts).cast("date"), F.lit(origin).cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def pick(index: Column, *values: str | None) -> Column:
@@ -94,7 +95,7 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer"),
-        F.expr("timestampdiff(SECOND, timestamp_ntz'1990-01-01 00:00:00', o_orderdate)").alias("dt"),
+        clock("o_orderdate", "1990-01-01").alias("dt"),
         F.col("o_totalprice").alias("amount"),
     )
 
@@ -112,8 +113,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- log tables as projections of the events -------------------------------------------------------------
 
 
-def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
+def prediction_log_of(source: DataFrame) -> DataFrame:
+    return source.select(
         F.col("event_id").alias("id"),
         F.col("event_id").cast("string").alias("transaction_id"),
         score_of(F.col("value"), F.col("event_id")).alias("fraud_probability"),
@@ -122,6 +123,10 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("prediction", decision(F.col("fraud_probability")))
 
 
+def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prediction_log_of(events(spark, sf_dir))
+
+
 def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per transaction but for sign-ups, whose features never arrived."""
     base = txn(spark, sf_dir).where(F.col("ProductCD") != "H")

@@ -1,0 +1 @@
+"""Structured Streaming jobs: parse, dedupe, point-in-time features, scoring and monitoring."""
