@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.functions.pvalues import chi_square_p, ks_p
 from riskloom.functions.scalars import hour_bucket
@@ -17,12 +17,12 @@ CATEGORICAL = ("card6", "hour_bucket")
 
 
 # One call per tested feature, on values Spark has already reduced.
-@F.udf("double")
+@F.udf(T.DoubleType())
 def _chi_p(statistic, dof):
     return chi_square_p(statistic, dof)
 
 
-@F.udf("double")
+@F.udf(T.DoubleType())
 def _ks_p(distance, n, m):
     return ks_p(distance, n, m)
 
