@@ -82,19 +82,25 @@ def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return kept.select(key, "_row.*").select(*df.columns)
 
 
-def median_fill(df: DataFrame, column: str) -> DataFrame:
-    """Fill nulls with the exact median of the column; an all-null column with rows to fill is an error."""
-    value = F.col(column)
-    filled = F.coalesce(
-        value, median_of(df, column), F.raise_error(F.lit(f"{column} cannot be entirely null.")).cast("double")
-    )
-    return df.withColumn(column, filled)
+def median_fill(df: DataFrame, column: str, narrow: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the exact median of the column; an all-null column with rows to fill is an error.
+
+    ``narrow`` holds the same values with fewer columns, for the counting passes behind the median.
+    """
+    median = median_of(df if narrow is None else narrow, column)
+    missing = F.raise_error(F.lit(f"{column} cannot be entirely null.")).cast("double")
+    return df.withColumn(column, F.coalesce(F.col(column), median, missing))
 
 
 def clean_transactions(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Null keys out, first row per key, then missing amounts to the median of what is left."""
-    kept = dedupe_first(drop_null(df, cfg.join_key), cfg.join_key, cfg.order_column)
-    return median_fill(kept, cfg.amount_column)
+
+    def first_rows(rows: DataFrame) -> DataFrame:
+        return dedupe_first(drop_null(rows, cfg.join_key), cfg.join_key, cfg.order_column)
+
+    # Whole rows move once; the median only needs keys and amounts.
+    narrow = first_rows(df.select(cfg.join_key, cfg.amount_column, cfg.order_column))
+    return median_fill(first_rows(df), cfg.amount_column, narrow)
 
 
 def join_identity(df: DataFrame, identity: DataFrame | None, cfg: Config = DEFAULT, order: str = "identity_seq") -> DataFrame:

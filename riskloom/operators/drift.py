@@ -50,10 +50,10 @@ def drift_ks(both: DataFrame, features: Sequence[str]) -> DataFrame:
     ranked = cumulative(counts, "v", ["ref", "cur"], value_splits(long, "v", "feature_name"), "feature_name")
     sizes = counts.groupBy("feature_name").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     sizes = sizes.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    # one size row per feature
     gap = F.abs(
         (F.col("ref_below") + F.col("ref")) / F.col("n_ref") - (F.col("cur_below") + F.col("cur")) / F.col("n_cur")
     )
+    # one row per tested feature: the list of features bounds it
     return ranked.join(F.broadcast(sizes), "feature_name").groupBy("feature_name", "n_ref", "n_cur").agg(
         F.max(gap).alias("statistic")
     )

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.operators.cleaning import unpivoted
 from riskloom.operators.ranks import quantiles
 
+# With at most this many classes, per-class limits are broadcast; beyond that they are joined by shuffle.
+MAX_CLASSES = 10_000
+
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
@@ -61,8 +64,10 @@ def box_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) -> Data
     limits = q.withColumns({"_lo": F.col("q1") - reach * spread, "_hi": F.col("q3") + reach * spread})
     v = F.col(value)
     inside = v.between(F.col("_lo"), F.col("_hi"))
-    # one limits row per class
-    return df.where(v.isNotNull()).join(F.broadcast(limits), group).groupBy(group, "q1", "median", "q3").agg(
+    rows = limits.limit(MAX_CLASSES + 1).collect()
+    if len(rows) <= MAX_CLASSES:
+        limits = F.broadcast(df.sparkSession.createDataFrame(rows, limits.schema))
+    return df.where(v.isNotNull()).join(limits, group).groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
@@ -85,8 +90,5 @@ def log_density(df: DataFrame, group: str, value: str, per_decade: int = 10) ->
     """Share of each class per bin of log10(value), scaled to a density; values at or below zero have no log."""
     rows = df.where(F.col(value) > 0).select(group, F.floor(F.log10(value) * per_decade).cast("int").alias("log_bin"))
     counts = rows.groupBy(group, "log_bin").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(group).agg(F.sum("n").alias("total"))
-    # one size row per class
-    return counts.join(F.broadcast(sizes), group).select(
-        group, "log_bin", "n", (F.col("n") / F.col("total") * float(per_decade)).alias("density")
-    )
+    total = F.sum("n").over(Window.partitionBy(group))  # over counted bins: a few hundred rows per class
+    return counts.select(group, "log_bin", "n", (F.col("n") / total * float(per_decade)).alias("density"))

@@ -8,6 +8,7 @@ sketch and only balance the work: results are exact whatever they are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,33 +17,61 @@ from riskloom.functions.scalars import columns_of, hash32
 _B = "_bucket"
 
 
-def value_splits(df: DataFrame, value: str, series: str | None = None, buckets: int | None = None) -> dict:
-    """Bucket limits per series: a few numbers per series, so they may pass through the driver."""
+# Broadcast tables hold one short row per (group, bucket); above this many rows they are joined by shuffle.
+MAX_SMALL_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Splits:
+    """Bucket limits per series, and about how many groups there are."""
+
+    limits: dict
+    groups: int
+
+    @property
+    def small_rows(self) -> int:
+        """Rows of a (group, bucket) table, with room for the error of the estimate."""
+        return int(1.2 * self.groups) * (1 + max((len(x) for x in self.limits.values()), default=0))
+
+
+def value_splits(
+    df: DataFrame, value: str, series: str | None = None, buckets: int | None = None, group: Sequence[str] = ()
+) -> Splits:
+    """Bucket limits per series: a few numbers per series, so they may pass through the driver.
+
+    The same job estimates the number of groups, the size check for what is broadcast later.
+    """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(2, min(n, 2000))
     points = F.array(*[F.lit(i / n) for i in range(1, n)])
-    sketch = F.percentile_approx(value, points, 1000).alias("s")
-    rows = (df.groupBy(series) if series else df.groupBy()).agg(sketch).collect()
-    return {(r[series] if series else None): sorted(set(r["s"] or [])) for r in rows}
+    sketch = [F.percentile_approx(value, points, 1000).alias("s")]
+    sketch += [F.approx_count_distinct(F.struct(*group)).alias("g")] if group else [F.lit(1).alias("g")]
+    rows = (df.groupBy(series) if series else df.groupBy()).agg(*sketch).collect()
+    limits = {(r[series] if series else None): sorted(set(r["s"] or [])) for r in rows}
+    return Splits(limits, sum(r["g"] for r in rows))
 
 
-def _bucket(value: str, series: str | None, splits: dict) -> Column:
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= MAX_SMALL_ROWS else table
+
+
+def _bucket(value: str, series: str | None, splits: Splits) -> Column:
     def index(limits: Sequence) -> Column:
         if not limits:
             return F.lit(0)
         return F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x < F.col(value)))
 
     if series is None:
-        return index(splits.get(None, []))
+        return index(splits.limits.get(None, []))
     out = F.lit(0)
-    for name, limits in splits.items():
+    for name, limits in splits.limits.items():
         if name is not None:
             out = F.when(F.col(series) == F.lit(name), index(limits)).otherwise(out)
     return out
 
 
 def cumulative(
-    counts: DataFrame, value: str, measures: Sequence[str], splits: dict,
+    counts: DataFrame, value: str, measures: Sequence[str], splits: Splits,
     series: str | None = None, group: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<measure>_below``: the sum of the measure over smaller values of the same group.
@@ -54,10 +83,9 @@ def cumulative(
     rows = counts.withColumn(_B, _bucket(value, series, splits))
     per_bucket = rows.groupBy(*keys, _B).agg(*[F.sum(m).alias(m) for m in measures])
     before = Window.partitionBy(*keys, F.lit(0)).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    # groups x buckets rows: class labels or feature names times a few limits
     offsets = per_bucket.select(*keys, _B, *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}_off") for m in measures])
     inside = Window.partitionBy(*keys, _B).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(F.broadcast(offsets), [*keys, _B], "left").select(
+    return rows.join(_small(offsets, splits.small_rows), [*keys, _B], "left").select(
         *counts.columns,
         *[(F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"{m}_off")).alias(f"{m}_below") for m in measures],
     )
@@ -70,12 +98,12 @@ def quantiles(
     """Exact interpolated quantiles of the non-null values, one row per group."""
     keys = list(group) + ([series] if series and series not in group else [])
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    splits = value_splits(known, value, series)
+    splits = value_splits(known, value, series, group=group)
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     ranked = cumulative(counts, value, ["_c"], splits, series, group)
     sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     if keys:
-        ranked = ranked.join(F.broadcast(sizes), keys)  # one short row per group
+        ranked = ranked.join(_small(sizes, splits.small_rows), keys)
     else:
         ranked = ranked.withColumn("_n", sizes.scalar())
     picks = []
@@ -103,12 +131,24 @@ def newest(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
-def flag_newest(df: DataFrame, n: int | Column, order: Sequence[str], flag: str, base: DataFrame | None = None) -> DataFrame:
-    """Flag the newest n rows by comparing with the order columns of the n-th newest row; no join, no sort."""
-    source = df if base is None else base
-    top = source.select(*order).orderBy(*[F.col(c).desc() for c in order]).limit(n)
-    edge = top.agg(F.min(F.struct(*order))).scalar()
-    return df.withColumn(flag, F.coalesce(F.struct(*order) >= edge, F.lit(False)))
+def newest_edge(df: DataFrame, n: int, order: Sequence[str]) -> tuple | None:
+    """Order columns of the n-th newest row: one top-k job, one row to the driver."""
+    row = newest(df.select(*order), n, *order).agg(F.min(F.struct(*order)).alias("edge")).first()
+    return None if row["edge"] is None else tuple(row["edge"])
+
+
+def at_or_after(order: Sequence[str], edge: tuple) -> Column:
+    """Whether a row stands at or after the edge, compared column by column."""
+    out = F.lit(True)
+    for column, value in reversed(list(zip(order, edge))):
+        out = (F.col(column) > F.lit(value)) | ((F.col(column) == F.lit(value)) & out)
+    return out
+
+
+def flag_newest(df: DataFrame, n: int, order: Sequence[str], flag: str) -> DataFrame:
+    """Flag the newest n rows by comparing with the n-th newest row: a projection, no join and no sort."""
+    edge = newest_edge(df, n, order)
+    return df.withColumn(flag, F.lit(False) if edge is None else F.coalesce(at_or_after(order, edge), F.lit(False)))
 
 
 def rank_cuts(df: DataFrame, row_id: str, seed: int, salt: str, ranks: dict, stratum: str | None = None) -> dict:

@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskloom.functions.scalars import from_micro, to_micro
 from riskloom.session import settle
 
-# At most this many keys can be hot, whatever the data: a key is hot only above total / MAX_HOT_KEYS rows.
-# The table of hot keys is broadcast on the strength of this bound.
-MAX_HOT_KEYS = 20_000
+# At most this many keys, the largest ones, are cut; a key beyond them holds less than total / MAX_HOT_KEYS
+# rows. The table of hot keys is broadcast on the strength of this bound.
+MAX_HOT_KEYS = 100_000
 _CHUNK, _WIDTH, _POS, _ROW = "_chunk", "_width", "_pos", "_row"
 
 
@@ -52,23 +52,38 @@ class HotKeys:
         return self.table is not None
 
 
+def _largest(groups: DataFrame, time: str, chunk_rows: int) -> DataFrame:
+    """Keys above ``chunk_rows`` rows, largest first, and how wide a chunk of that many rows is."""
+    counts = groups.agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi"))
+    span = F.col("_hi") - F.col("_lo") + 1
+    width = F.greatest(F.lit(1), F.ceil(span / F.col("_n") * F.lit(int(chunk_rows)))).cast("bigint")
+    hot = counts.where(F.col("_n") > F.lit(int(chunk_rows))).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
+    return hot.withColumn(_WIDTH, width).drop("_n", "_lo", "_hi")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], time: str, chunk_rows: int) -> HotKeys:
     """Find the hot keys with one counting job over the key and time columns.
 
     The answer decides the plan: without hot keys a sweep is a single shuffle. It holds at most
     MAX_HOT_KEYS short rows, so it may pass through the driver and be broadcast.
     """
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(int(chunk_rows)), F.ceil(total / F.lit(MAX_HOT_KEYS)))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_n") * limit)).cast("bigint")
-    hot = counts.where(F.col("_n") > limit).select(*keys, width.alias(_WIDTH))
+    hot = _largest(df.groupBy(*keys), time, chunk_rows)
     rows = hot.collect()
     return HotKeys(df.sparkSession.createDataFrame(rows, hot.schema) if rows else None)
 
 
+def hot_text_keys(df: DataFrame, keys: Sequence[str], time: str, chunk_rows: int) -> dict[str, HotKeys]:
+    """Hot values of several text keys from one pass over the rows."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("_name"), F.col(k).alias("_key")) for k in keys])
+    rows = _largest(df.select(time, F.inline(pairs)).groupBy("_name", "_key"), time, chunk_rows).collect()
+    found = {}
+    for k in keys:
+        mine = [(r["_key"], r[_WIDTH]) for r in rows if r["_name"] == k]
+        table = df.sparkSession.createDataFrame(mine, f"`{k}` string, {_WIDTH} bigint") if mine else None
+        found[k] = HotKeys(table)
+    return found
+
+
 def _chunked(df: DataFrame, hot: HotKeys, keys: Sequence[str], at: Column) -> DataFrame:
     """Add the chunk number: zero for ordinary keys, time // width for hot ones."""
     match = [F.col(f"_f.{k}").eqNullSafe(F.col(f"_h.{k}")) for k in keys]
@@ -241,14 +256,15 @@ def rolling_count(
 def rolling_unique(
     df: DataFrame, key: str, value: str, time: str, order: Sequence[str], window: int, name: str,
     ties: str = "sequential", chunk_rows: int = 1_000_000, extra: Sequence[Measure] = (),
-    base: DataFrame | None = None,
+    base: DataFrame | None = None, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Exact distinct values of ``value`` per key in the trailing window, with linear memory.
 
-    ``base`` is a cheap frame with the same rows, used to find hot keys when ``df`` is itself derived.
+    ``base`` is a cheap frame with the same rows, used to find hot keys when ``df`` is itself derived;
+    ``hot`` hands in the hot keys when they are known.
     """
     source = df if base is None else base
-    hot = hot_keys(source, [key], time, chunk_rows)
+    hot = hot_keys(source, [key], time, chunk_rows) if hot is None else hot
     # A pair can only be hot where its key is.
     hot_pairs = hot_keys(source, [key, value], time, chunk_rows) if hot else HotKeys(None)
     marked = neighbour_times(df, [key, value], time, order, chunk_rows, hot_pairs, base is not None)

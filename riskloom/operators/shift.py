@@ -29,7 +29,9 @@ def shift_merchant(df: DataFrame, intensity: float) -> DataFrame:
     return _scaled(df, ("merchant_tx_count_30d", "merchant_unique_users_30d"), 1.0 + 1.5 * intensity)
 
 
-def shift_label_rate(df: DataFrame, intensity: float, cfg: Config = DEFAULT, row_id: str = "TransactionID") -> DataFrame:
+def shift_label_rate(
+    df: DataFrame, intensity: float, cfg: Config = DEFAULT, row_id: str = "TransactionID"
+) -> DataFrame:
     """Turn negatives positive with the probability that lifts the rate to its target; never lowers it."""
     label = cfg.target_column
     if label not in df.columns:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import DEFAULT, Config
 from riskloom.operators.drift import drift_tests, with_hour_bucket
 from riskloom.operators.ranks import flag_newest
 from riskloom.operators.shift import simulate_shift
 from riskloom.plans.features import engineer_features
+from riskloom.session import settle
 
 FLAG = "is_inference_batch"
 
@@ -28,15 +29,17 @@ def baseline_exclude(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def make_shifted_batch(df: DataFrame, intensity: float | None = None, cfg: Config = DEFAULT) -> DataFrame:
     """Shift the newest rows and engineer their features over the joint history.
 
-    Only rows of the batch are returned, so history older than the longest window before the batch is cut
-    at the scan.
+    The shifted rows (at most ``batch_rows``) are written once. Only rows of the batch are returned, so
+    history older than the longest window before the batch is cut at the scan.
     """
     strength = cfg.drift_intensity if intensity is None else intensity
     marked = flag_newest(df, cfg.batch_rows, _order(cfg), FLAG)
-    candidate = simulate_shift(marked.where(FLAG), strength, cfg, cfg.join_key)
+    candidate = settle(simulate_shift(marked.where(FLAG), strength, cfg, cfg.join_key), "candidate")
+    start = candidate.agg(F.min(cfg.time_column)).first()[0]
+    if start is None:
+        return engineer_features(candidate, cfg).drop(FLAG)
     reach = max(cfg.user_window, cfg.merchant_window, cfg.velocity_window)
-    start: Column = candidate.agg(F.min(cfg.time_column)).scalar()
-    history = marked.where(~F.col(FLAG)).where(F.col(cfg.time_column) >= start - F.lit(reach))
+    history = marked.where(~F.col(FLAG) & (F.col(cfg.time_column) >= start - reach))
     return engineer_features(history.unionByName(candidate), cfg).where(FLAG).drop(FLAG)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import DEFAULT, Config
 from riskloom.functions.scalars import composite_key, temporal_parts
-from riskloom.operators.rolling import Measure, rolling_unique, rolling_user_stats
+from riskloom.operators.rolling import Measure, hot_text_keys, rolling_unique, rolling_user_stats
 
 # fixed values: the engineered columns, in the order they are delivered
 KEEP = (
@@ -35,7 +35,7 @@ def add_keys(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def engineer_features(df: DataFrame, cfg: Config = DEFAULT, ties: str = "sequential") -> DataFrame:
-    """All features of a cleaned frame, point in time. Three shuffles of the kept columns.
+    """All features of a cleaned frame, point in time: one counting job, then three shuffles of the kept columns.
 
     Raw columns that do not survive are cut before the first shuffle.
     """
@@ -45,16 +45,18 @@ def engineer_features(df: DataFrame, cfg: Config = DEFAULT, ties: str = "sequent
     keyed = add_keys(add_temporal(narrow, cfg), cfg)
     order = [cfg.join_key]
     time = cfg.time_column
+    hot = hot_text_keys(keyed, ["user_key", "merchant_key"], time, cfg.chunk_rows)
     by_user = rolling_user_stats(
         keyed, "user_key", cfg.amount_column, time, order, cfg.user_window, ties, cfg.chunk_rows,
         "user_tx_count_30d", "user_total_amount_30d", "user_avg_amount_30d",
         extra=[Measure("velocity_1hr", cfg.velocity_window, F.lit(1))],
+        hot=hot["user_key"],
     )
     by_merchant = rolling_unique(
         by_user, "merchant_key", "user_key", time, order, cfg.merchant_window, "merchant_unique_users_30d",
         ties, cfg.chunk_rows,
         extra=[Measure("merchant_tx_count_30d", cfg.merchant_window, F.lit(1))],
-        base=keyed,
+        base=keyed, hot=hot["merchant_key"],
     )
     named = by_merchant.withColumnRenamed(cfg.amount_column, "amount")
     return named.select(*[c for c in KEEP if c in named.columns])

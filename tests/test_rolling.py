@@ -82,6 +82,15 @@ def test_hot_keys_are_found_and_bounded(spark):
     hot = rolling.hot_keys(df, ["k"], "t", 100)
     assert [(r["k"], r["_width"]) for r in hot.table.collect()] == [("hot", 100)]
     assert not rolling.hot_keys(df, ["k"], "t", 1000)
+    both = rolling.hot_text_keys(df.withColumn("other", F.lit("x")), ["k", "other"], "t", 100)
+    assert [r["k"] for r in both["k"].table.collect()] == ["hot"] and [r["other"] for r in both["other"].table.collect()] == ["x"]
+
+
+def test_hot_features_equal_whole_ones(spark):
+    rows = [(i, i * 977 % 5000, float(i), 1000, 1.0, "W", "visa" if i % 5 else "amex", "debit") for i in range(200)]
+    plain = engineer_features(small(spark, rows), CFG.with_(user_window=700, merchant_window=900, velocity_window=90))
+    cut = engineer_features(small(spark, rows), CFG.with_(user_window=700, merchant_window=900, velocity_window=90, chunk_rows=20))
+    assert rows_of(plain, *plain.columns) == rows_of(cut, *plain.columns)
 
 
 def test_no_hot_keys_means_one_shuffle(spark):
