@@ -17,7 +17,7 @@ from riskloom.functions.scalars import hash32
 from riskloom.operators.encode import PreprocessParams, apply_preprocess
 from riskloom.operators.metrics import confusion_matrix, with_scores
 from riskloom.operators.sampling import class_sizes, kfold_assign
-from riskloom.session import settle
+from riskloom.session import ensure_checkpoint_dir, settle
 
 # fixed values: the three trials of the tuning run and the choices of the random search
 TRIALS = (
@@ -44,6 +44,7 @@ def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def train(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT) -> GBTClassificationModel:
     """Boosted trees on log loss; positives weigh negatives / positives."""
     target = cfg.target_column
+    ensure_checkpoint_dir(df.sparkSession)
     neg, pos = class_sizes(df, target)
     weight = neg / pos if pos else 1.0
     rows = assembled(df, features).select(
@@ -53,6 +54,7 @@ def train(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT) -> GBTC
     return GBTClassifier(
         labelCol="label", featuresCol="features", weightCol="weight", maxDepth=cfg.max_depth, stepSize=cfg.learning_rate,
         maxIter=cfg.n_trees, subsamplingRate=cfg.subsample, featureSubsetStrategy=str(cfg.column_sample), seed=cfg.seed,
+        checkpointInterval=10,
     ).fit(rows)
 
 

@@ -7,10 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import DEFAULT, Config
+from riskloom.functions.scalars import confidence, decision
 from riskloom.operators import model, registry
 from riskloom.operators.drift import drift_summary
+from riskloom.operators.encode import PreprocessParams
 from riskloom.plans.drift import baseline_exclude, detect_drift, make_shifted_batch
 from riskloom.plans.features import engineer_features
+from riskloom.plans.ingest import ingest_split
 from riskloom.plans.train import evaluate, fit, prepare
 from riskloom.session import settle
 from riskloom.sources import readers, sinks
@@ -21,6 +24,67 @@ REGISTRY_ROW = ("model_name string, model_version string, run_id string, f1_scor
                 "recall_score double, val_f1_score double, threshold double, is_production boolean, created_at timestamp_ntz")
 
 
+def preprocess_job(spark: SparkSession, raw_dir: str, work_dir: str, cfg: Config = DEFAULT) -> DataFrame:
+    """Ingest, engineer, split, encode and oversample; writes ``processed`` and ``preprocess``. The ingestion summary."""
+    joined, summary = ingest_split(spark, raw_dir, "train", cfg)
+    processed, params = prepare(settle(engineer_features(joined, cfg), "engineered"), cfg)
+    sinks.write_splits(processed, f"{work_dir}/processed")
+    params.save(spark, f"{work_dir}/preprocess")
+    return summary
+
+
+def load_processed(spark: SparkSession, work_dir: str) -> tuple[DataFrame, PreprocessParams]:
+    return spark.read.parquet(f"{work_dir}/processed"), PreprocessParams.load(spark, f"{work_dir}/preprocess")
+
+
+def register(spark: SparkSession, work_dir: str, cfg: Config, run_id: str, scores: dict, val_f1: float, now: datetime, promote: bool) -> None:
+    """Append the run to the registry and, if it goes to production, a promotion event."""
+    entry = (cfg.model_name, run_id, run_id, scores["f1_score"], scores.get("roc_auc_score", 0.0), scores["precision_score"],
+             scores["recall_score"], val_f1, scores.get("threshold", 0.5), False, now)
+    sinks.append_log(spark.createDataFrame([entry], REGISTRY_ROW), f"{work_dir}/registry")
+    if promote:
+        event = spark.createDataFrame([(cfg.model_name, run_id, now)], "model_name string, run_id string, promoted_at timestamp_ntz")
+        event.write.mode("append").parquet(f"{work_dir}/promotions")
+
+
+def train_job(spark: SparkSession, work_dir: str, cfg: Config = DEFAULT, promote: bool = True, now: datetime | None = None) -> str:
+    """Train on the processed table, save and register the model with its validation and test scores. The run id."""
+    now = now or datetime.now()
+    processed, params = load_processed(spark, work_dir)
+    fitted = fit(processed, params, cfg)
+    run_id = f"run-{now:%Y%m%d%H%M%S%f}"
+    path = f"{work_dir}/models/{run_id}"
+    model.save_model(fitted, path)
+    params.save(spark, f"{path}-preprocess")
+    result = evaluate(fitted, processed, params, cfg, path)
+    sinks.write_report(result.report, f"{work_dir}/reports/{run_id}")
+    register(spark, work_dir, cfg, run_id, result.test, result.val_f1, now, promote)
+    return run_id
+
+
+def evaluate_job(spark: SparkSession, work_dir: str, run_id: str, cfg: Config = DEFAULT) -> DataFrame:
+    """Evaluate a saved model on the processed table again and write its report."""
+    processed, params = load_processed(spark, work_dir)
+    path = f"{work_dir}/models/{run_id}"
+    report = evaluate(model.load_model(path), processed, params, cfg, path).report
+    sinks.write_report(report, f"{work_dir}/reports/{run_id}")
+    return report
+
+
+def score_batch(spark: SparkSession, engineered: DataFrame, work_dir: str, run_id: str, cfg: Config = DEFAULT) -> DataFrame:
+    """Probability, band and confidence of engineered rows under a saved model."""
+    path = f"{work_dir}/models/{run_id}"
+    params = PreprocessParams.load(spark, f"{path}-preprocess")
+    scored = model.score_features(model.load_model(path), engineered, params, [cfg.join_key])
+    p = F.col("score")
+    return scored.withColumns(
+        {
+            "prediction": decision(p, cfg.fraud_threshold, cfg.suspicious_threshold),
+            "confidence": confidence(p, cfg.fraud_threshold, cfg.suspicious_threshold),
+        }
+    )
+
+
 def generate_batch(cleaned: DataFrame, batch_dir: str, batch_date: str, intensity: float | None = None, cfg: Config = DEFAULT) -> None:
     """Write the shifted batch of the newest rows under its date."""
     sinks.write_batch(make_shifted_batch(cleaned, intensity, cfg), batch_dir, batch_date)
@@ -57,7 +121,7 @@ def retrain(
     appended; the newest promotion event of a model name decides what is in production.
     """
     now = now or datetime.now()
-    log, reg, promotions = (f"{work_dir}/{t}" for t in ("retrain_log", "registry", "promotions"))
+    log = f"{work_dir}/retrain_log"
     if not force and readers.path_exists(spark, log):
         gate = registry.retrain_gate(
             spark.read.parquet(log), F.lit(now).cast("timestamp_ntz"), cfg.min_hours_between_retrains,
@@ -82,12 +146,7 @@ def retrain(
     old = 0.0 if production is None else float(registry.production_metrics(production).first()["f1_score"])
     new = result.test["f1_score"]
     promoted = bool(new - old >= cfg.promotion_min_delta or old == 0.0)
-    entry = (cfg.model_name, run_id, run_id, new, result.test["roc_auc_score"], result.test["precision_score"],
-             result.test["recall_score"], result.val_f1, result.threshold, False, now)
-    sinks.append_log(spark.createDataFrame([entry], REGISTRY_ROW), reg)
-    if promoted:
-        event = spark.createDataFrame([(cfg.model_name, run_id, now)], "model_name string, run_id string, promoted_at timestamp_ntz")
-        event.write.mode("append").parquet(promotions)
+    register(spark, work_dir, cfg, run_id, result.test, result.val_f1, now, promoted)
     word = ">" if promoted else "<="
     notes = f"Model {'promoted' if promoted else 'NOT promoted'} (candidate F1: {new:.4f} {word} production F1: {old:.4f})."
     return log_run(spark, log, now, reason, old, new, promoted, notes, now)

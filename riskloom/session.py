@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,14 +41,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/riskloom/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, never reused between calls."""
-    return f"{shared_dir(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df, name: str):
+def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application settled. Call it when no frame built on it is needed any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Iterative jobs cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import DAY, DEFAULT, Config
 from riskloom.functions.scalars import confidence, decision
+from riskloom.operators.cleaning import dedupe_first
 from riskloom.operators.drift import drift_tests
 from riskloom.plans.features import engineer_features
 from riskloom.session import shared_path
@@ -68,7 +69,7 @@ def feature_batch(cfg: Config, history: str, sink: BatchFn) -> BatchFn:
         spark = batch.sparkSession
         day = F.floor(F.col(time) / DAY).cast("int")
         # The id is a primary key: within the batch here, against the stored history below.
-        fresh = batch.dropDuplicates([cfg.join_key]).withColumns({"day": day, "batch_id": F.lit(batch_id).cast("bigint")})
+        fresh = dedupe_first(batch, cfg.join_key, time).withColumns({"day": day, "batch_id": F.lit(batch_id).cast("bigint")})
         past = None
         if path_exists(spark, history):
             span = batch.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).first()
