@@ -118,7 +118,7 @@ def _both(spark, d):
 
 @query("drift_ks", sql(*BOTH_CTES, body="SELECT feature_name, n_ref, n_cur, round(d, 9) AS statistic FROM ks"))
 def drift_ks(spark, d):
-    both = drift.settle(drift.tagged(*_both(spark, d), drift.NUMERIC), "ks")
+    both = drift.tagged(*_both(spark, d), drift.NUMERIC)
     return drift.drift_ks(both, drift.NUMERIC).withColumn("statistic", F.round("statistic", 9))
 
 

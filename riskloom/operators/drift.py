@@ -47,7 +47,8 @@ def drift_ks(both: DataFrame, features: Sequence[str]) -> DataFrame:
     counts = long.groupBy("feature_name", "v").agg(
         F.count_if(~F.col("is_current")).alias("ref"), F.count_if(F.col("is_current")).alias("cur")
     )
-    ranked = cumulative(counts, "v", ["ref", "cur"], value_splits(long, "v", "feature_name"), "feature_name")
+    counts = settle(counts, "counts")
+    ranked = cumulative(counts, "v", ["ref", "cur"], value_splits(counts, "v", "feature_name"), "feature_name")
     sizes = counts.groupBy("feature_name").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     sizes = sizes.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     gap = F.abs(
@@ -88,7 +89,7 @@ def drift_tests(
 ) -> DataFrame:
     """One row per tested feature: score, p-value and verdict.
 
-    The tested columns of both samples are written once, since each test reads them more than once.
+    The tested columns of both samples are written once, since both tests read them.
     """
     both = settle(tagged(reference, current, [*numeric, *categorical]), "drift")
     ks = drift_ks(both, numeric).select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.config import DEFAULT, Config
 from riskloom.operators.ranks import cumulative, value_splits
+from riskloom.session import settle
 
 
 def class_weight(df: DataFrame, target: str) -> DataFrame:
@@ -86,7 +87,8 @@ def roc_auc(df: DataFrame, target: str, score: str) -> DataFrame:
     counts = df.where(F.col(score).isNotNull()).groupBy(score).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    ranked = cumulative(counts, score, ["neg"], value_splits(df, score))
+    counts = settle(counts, "counts")
+    ranked = cumulative(counts, score, ["neg"], value_splits(counts, score))
     pairs = F.col("pos").cast("decimal(18,0)") * (2 * F.col("neg_below") + F.col("neg")).cast("decimal(19,0)")
     sums = ranked.agg(
         F.sum(pairs).cast("double").alias("won"),

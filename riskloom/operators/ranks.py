@@ -2,7 +2,8 @@
 
 Values are first counted (pre-aggregated), then cut into value buckets; each bucket is summed up on its
 own and starts from the total of the buckets below it. Bucket limits come from an approximate quantile
-sketch and only balance the work: results are exact whatever they are.
+sketch and only balance the work: results are exact whatever they are. The counts are written once, since
+limits, bucket totals and ranks all read them; the rows themselves are read a single time.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.scalars import columns_of, hash32
+from riskloom.session import settle
 
 _B = "_bucket"
 
@@ -98,8 +100,8 @@ def quantiles(
     """Exact interpolated quantiles of the non-null values, one row per group."""
     keys = list(group) + ([series] if series and series not in group else [])
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    splits = value_splits(known, value, series, group=group)
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = settle(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")), "counts")
+    splits = value_splits(counts, value, series, group=group)
     ranked = cumulative(counts, value, ["_c"], splits, series, group)
     sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     if keys:

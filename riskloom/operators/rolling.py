@@ -188,9 +188,10 @@ def _any_nonzero(names: Sequence[str]) -> Column:
 
 def neighbour_times(
     df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], chunk_rows: int = 1_000_000,
-    hot: HotKeys | None = None, costly: bool = False,
+    hot: HotKeys | None = None, costly: bool = False, strict: bool = True,
 ) -> DataFrame:
-    """Append the times of the previous row, the next row and the last strictly earlier row of the key."""
+    """Append the times of the previous row, the next row and, if ``strict``, the last strictly earlier row
+    of the key. All three read one sort."""
     t = F.col(time).cast("bigint")
     hot = hot_keys(df, keys, time, chunk_rows) if hot is None else hot
     nothing = F.lit(None).cast("bigint")
@@ -209,12 +210,13 @@ def neighbour_times(
         )
         rows = _attach(rows, edges, keys)
     near = Window.partitionBy(*group).orderBy(time, *order)
-    earlier = Window.partitionBy(*group).orderBy(t).rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy(time).rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max(time).over(earlier).cast("bigint") if strict else nothing
     return rows.select(
         *df.columns,
-        F.coalesce(F.lag(t).over(near), F.col("_before")).alias("_prev"),
-        F.coalesce(F.lead(t).over(near), F.col("_after")).alias("_next"),
-        F.coalesce(F.max(t).over(earlier), F.col("_before")).alias("_earlier"),
+        F.coalesce(F.lag(time).over(near).cast("bigint"), F.col("_before")).alias("_prev"),
+        F.coalesce(F.lead(time).over(near).cast("bigint"), F.col("_after")).alias("_next"),
+        F.coalesce(last, F.col("_before")).alias("_earlier"),
     )
 
 
@@ -267,7 +269,10 @@ def rolling_unique(
     hot = hot_keys(source, [key], time, chunk_rows) if hot is None else hot
     # A pair can only be hot where its key is.
     hot_pairs = hot_keys(source, [key, value], time, chunk_rows) if hot else HotKeys(None)
-    marked = neighbour_times(df, [key, value], time, order, chunk_rows, hot_pairs, base is not None)
+    if not hot:
+        # Keys this small fit a task: one shuffle by key serves the pair windows and the sweep.
+        df = df.repartition(key)
+    marked = neighbour_times(df, [key, value], time, order, chunk_rows, hot_pairs, base is not None, ties == "strict")
     measures = [distinct_measure(name, window, time), *extra]
     return sweep(marked, [key], time, order, measures, ties, chunk_rows, hot, True).drop("_prev", "_next", "_earlier")
 

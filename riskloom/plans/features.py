@@ -35,7 +35,8 @@ def add_keys(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def engineer_features(df: DataFrame, cfg: Config = DEFAULT, ties: str = "sequential") -> DataFrame:
-    """All features of a cleaned frame, point in time: one counting job, then three shuffles of the kept columns.
+    """All features of a cleaned frame, point in time: one counting job, then two shuffles of the kept
+    columns (three with hot merchants).
 
     Raw columns that do not survive are cut before the first shuffle.
     """
