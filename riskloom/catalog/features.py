@@ -93,23 +93,22 @@ def engineered_features(spark, d):
     return engineer_features(views.txn(spark, d))
 
 
-@query("pit_lookup", sql(TXN, keyed(), """p AS (SELECT * FROM keyed WHERE ProductCD = 'R')""", """j AS (
+@query("pit_lookup", sql(TXN, keyed(), """j AS (
   SELECT p.TransactionID, count(h.TransactionAmt) + 1 AS c,
     CAST(coalesce(sum(CAST(round(h.TransactionAmt * 1e6) AS BIGINT)), 0) + max(CAST(round(p.TransactionAmt * 1e6) AS BIGINT)) AS DOUBLE) / 1e6 AS s,
     count(*) FILTER (WHERE h.TransactionDT >= p.TransactionDT - 3600) + 1 AS v
-  FROM p LEFT JOIN keyed h ON h.user_key = p.user_key AND h.TransactionDT >= p.TransactionDT - 2592000 AND h.TransactionDT < p.TransactionDT
+  FROM keyed p LEFT JOIN keyed h ON h.user_key = p.user_key AND h.TransactionDT >= p.TransactionDT - 2592000 AND h.TransactionDT < p.TransactionDT
   GROUP BY p.TransactionID)""", body="""SELECT TransactionID, c AS user_tx_count_30d, s AS user_total_amount_30d, s / c AS user_avg_amount_30d, v AS velocity_1hr FROM j"""))
 def pit_lookup(spark, d):
     history = add_keys(views.txn(spark, d))
-    probes = history.where(F.col("ProductCD") == "R")
-    out = rolling.history_lookup(probes, history, "user_key", "TransactionDT", "TransactionID", "TransactionAmt", 30 * DAY, HOUR)
+    out = rolling.history_lookup(history, history, "user_key", "TransactionDT", "TransactionID", "TransactionAmt", 30 * DAY, HOUR)
     return out.select("TransactionID", "user_tx_count_30d", "user_total_amount_30d", "user_avg_amount_30d", "velocity_1hr")
 
 
 @query("history_or_lookup", sql(TXN, keyed(), body="""SELECT p.TransactionID, count(*) AS history_rows,
   CAST(sum(CAST(round(h.TransactionAmt * 1e6) AS BIGINT)) AS DOUBLE) / 1e6 AS history_amount
 FROM keyed p JOIN keyed h ON h.user_key = p.user_key OR h.merchant_key = p.merchant_key
-WHERE p.ProductCD = 'R' GROUP BY p.TransactionID"""))
+GROUP BY p.TransactionID"""))
 def history_or_lookup(spark, d):
     history = add_keys(views.txn(spark, d))
-    return monitor.history_or_lookup(history.where(F.col("ProductCD") == "R"), history, "TransactionID", "TransactionAmt")
+    return monitor.history_or_lookup(history, history, "TransactionID", "TransactionAmt")

@@ -56,7 +56,7 @@ def tune_trials(spark, d):
 @query("random_search")
 def random_search(spark, d):
     processed, params = prepare(light_features(spark, d), SMALL_MODEL)
-    draws = [{**x, "n_trees": x["n_trees"] // 50 + 1, "max_depth": x["max_depth"] // 2 + 1} for x in model.search_draws(2)]
+    draws = [{**x, "n_trees": x["n_trees"] // 50 + 1, "max_depth": x["max_depth"] // 2 + 1} for x in model.search_draws()]
     _, results = model.random_search(_part(processed, "train"), "TransactionID", params.features, SMALL_MODEL, draws)
     return spark.createDataFrame(results)
 

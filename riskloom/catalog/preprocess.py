@@ -118,10 +118,10 @@ def drop_null_label(spark, d):
 
 @query("training_union", sql(TXN, body="""SELECT TransactionID, TransactionAmt, TransactionDT, ProductCD, card6, CAST(isFraud AS VARCHAR) AS isFraud FROM txn
 UNION ALL SELECT TransactionID, TransactionAmt * 1.5::DOUBLE, TransactionDT, ProductCD, NULL,
-  CASE WHEN ProductCD <> 'S' THEN CAST(isFraud AS VARCHAR) END FROM txn WHERE TransactionAmt > 60"""))
+  CASE WHEN ProductCD <> 'S' THEN CAST(isFraud AS VARCHAR) END FROM txn"""))
 def training_union(spark, d):
     raw = views.txn(spark, d).select("TransactionID", "TransactionAmt", "TransactionDT", "ProductCD", "card6", "isFraud")
-    batch = raw.where(F.col("TransactionAmt") > 60).select(
+    batch = raw.select(
         "TransactionID", (F.col("TransactionAmt") * 1.5).alias("amount"), "TransactionDT", "ProductCD",
         F.when(F.col("ProductCD") != "S", F.col("isFraud")).alias("isFraud"), F.lit(1).alias("hour"),
     )

@@ -22,13 +22,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.functions.scalars import from_micro, to_micro
+from riskloom.functions.scalars import columns_of, from_micro, to_micro
 from riskloom.session import settle
 
 # At most this many keys, the largest ones, are cut; a key beyond them holds less than total / MAX_HOT_KEYS
 # rows. The table of hot keys is broadcast on the strength of this bound.
 MAX_HOT_KEYS = 100_000
 _CHUNK, _WIDTH, _POS, _ROW = "_chunk", "_width", "_pos", "_row"
+_FIRST = -(2**62)  # ahead of every position
 
 
 @dataclass(frozen=True)
@@ -93,13 +94,6 @@ def _chunked(df: DataFrame, hot: HotKeys, keys: Sequence[str], at: Column) -> Da
     )
 
 
-def _attach(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join per-chunk values; the shuffle on (key, chunk) is the one the window then uses."""
-    match = [F.col(f"_r.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in keys] + [F.col(f"_r.{_CHUNK}") == F.col(f"_s.{_CHUNK}")]
-    kept = [c for c in side.columns if c not in keys and c != _CHUNK]
-    return rows.alias("_r").join(side.alias("_s"), match, "left").select("_r.*", *[f"_s.{c}" for c in kept])
-
-
 def sweep(
     df: DataFrame,
     keys: Sequence[str],
@@ -123,7 +117,7 @@ def sweep(
     zero = F.lit(0).cast("bigint")
     entries = [F.coalesce(m.entry.cast("bigint"), zero) for m in measures]
     exits = [F.coalesce((m.exit if m.exit is not None else m.entry).cast("bigint"), zero) for m in measures]
-    payload = F.struct(*[F.col(c) for c in df.columns])
+    payload = F.struct(*columns_of(df))
     ties_of = [F.col(c) for c in order]
 
     def event(position: Column, row: Column, tie: Sequence[Column], deltas: Sequence[Column]) -> Column:
@@ -152,9 +146,11 @@ def sweep(
             flow = settle(flow, "sweep")
         before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         totals = flow.where(F.col(_WIDTH).isNotNull()).groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
-        flow = _attach(flow, totals.select(*group, *[F.sum(n).over(before).alias(f"{n}_off") for n in names]), keys)
-    else:
-        flow = flow.select("*", *[zero.alias(f"{n}_off") for n in names])
+        # What the chunks before left behind opens each chunk, as one more event ahead of all others.
+        opening = totals.select(
+            *group, F.lit(_FIRST).alias(_POS), *[F.coalesce(F.sum(n).over(before), zero).alias(n) for n in names]
+        )
+        flow = flow.drop(_WIDTH).unionByName(opening, allowMissingColumns=True)
 
     base = Window.partitionBy(*group)
     if ties == "sequential":
@@ -164,10 +160,7 @@ def sweep(
     else:
         frame = base.orderBy(_POS).rangeBetween(Window.unboundedPreceding, -1)
     running = flow.select(
-        _ROW, *names, *[
-            (F.coalesce(F.sum(n).over(frame), zero) + F.coalesce(F.col(f"{n}_off"), zero)).alias(f"{n}_run")
-            for n in names
-        ]
+        _ROW, *names, *[F.coalesce(F.sum(n).over(frame), zero).alias(f"{n}_run") for n in names]
     )
     out = running.where(F.col(_ROW).isNotNull()).select(f"{_ROW}.*", *names, *[f"{n}_run" for n in names])
     values = []
@@ -176,7 +169,7 @@ def sweep(
         if ties == "strict":
             value = value + (F.col(n) if m.own is None else F.coalesce(m.own.cast("bigint"), zero))
         values.append(value.alias(m.name))
-    return out.select(*df.columns, *values)
+    return out.select(*columns_of(df), *values)
 
 
 def _any_nonzero(names: Sequence[str]) -> Column:
@@ -192,32 +185,32 @@ def neighbour_times(
 ) -> DataFrame:
     """Append the times of the previous row, the next row and, if ``strict``, the last strictly earlier row
     of the key. All three read one sort."""
-    t = F.col(time).cast("bigint")
     hot = hot_keys(df, keys, time, chunk_rows) if hot is None else hot
-    nothing = F.lit(None).cast("bigint")
-    group, rows = list(keys), df.select("*", nothing.alias("_before"), nothing.alias("_after"))
+    group, rows = list(keys), df
     if hot:
         group = [*keys, _CHUNK]
-        rows = _chunked(df, hot, keys, t)
+        rows = _chunked(df.withColumn(_ROW, F.lit(True)), hot, keys, F.col(time).cast("bigint"))
         if costly:
             rows = settle(rows, "neighbours")
         chunks = Window.partitionBy(*keys).orderBy(_CHUNK)
         edges = rows.where(F.col(_WIDTH).isNotNull()).groupBy(*group).agg(
-            F.min(t).alias("_first"), F.max(t).alias("_last")
-        )
-        edges = edges.select(
-            *group, F.lag("_last").over(chunks).alias("_before"), F.lead("_first").over(chunks).alias("_after")
+            F.min(time).alias("_first"), F.max(time).alias("_last")
         )
-        rows = _attach(rows, edges, keys)
+        # The last time of the chunk before and the first of the chunk after stand in as rows at its ends.
+        ends = F.array(F.lag("_last").over(chunks), F.lead("_first").over(chunks))
+        edges = edges.select(*group, ends.alias("_ends")).select(*group, F.explode("_ends").alias(time))
+        edges = edges.where(F.col(time).isNotNull())
+        rows = rows.drop(_WIDTH).unionByName(edges, allowMissingColumns=True)
     near = Window.partitionBy(*group).orderBy(time, *order)
     earlier = Window.partitionBy(*group).orderBy(time).rangeBetween(Window.unboundedPreceding, -1)
-    last = F.max(time).over(earlier).cast("bigint") if strict else nothing
-    return rows.select(
-        *df.columns,
-        F.coalesce(F.lag(time).over(near).cast("bigint"), F.col("_before")).alias("_prev"),
-        F.coalesce(F.lead(time).over(near).cast("bigint"), F.col("_after")).alias("_next"),
-        F.coalesce(last, F.col("_before")).alias("_earlier"),
+    last = F.max(time).over(earlier) if strict else F.lit(None)
+    found = rows.select(
+        "*",
+        F.lag(time).over(near).cast("bigint").alias("_prev"),
+        F.lead(time).over(near).cast("bigint").alias("_next"),
+        last.cast("bigint").alias("_earlier"),
     )
+    return found.where(F.col(_ROW)).drop(_ROW, _CHUNK) if hot else found
 
 
 def distinct_measure(name: str, window: int, time: str) -> Measure:

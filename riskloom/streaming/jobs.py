@@ -19,6 +19,7 @@ from riskloom.operators.drift import drift_tests
 from riskloom.plans.features import engineer_features
 from riskloom.session import shared_path
 from riskloom.sources.readers import path_exists
+from riskloom.sources.sinks import upsert
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -48,6 +49,11 @@ def batch_sink(path: str) -> BatchFn:
     return write
 
 
+def upsert_sink(path: str, key: str, *order: str) -> BatchFn:
+    """Merge each micro-batch into a table by key; the last write per key wins, so a retry changes nothing."""
+    return lambda batch, batch_id: upsert(batch, path, key, *order)
+
+
 def replay(slices: Iterable[DataFrame], schema: str, job: Callable[[DataFrame, str], None], spark: SparkSession) -> None:
     """Feed slices to a stream job one after another: each is written to the source folder, then the job is
     restarted from its checkpoint and takes what is new."""

@@ -73,3 +73,12 @@ def test_scores_are_banded(spark, tmp_path):
     jobs.stream_scores(read_event_stream(spark, source, SCHEMA), history, out, checkpoint, score, CFG)
     got = {r["TransactionID"]: (r["prediction"], r["confidence"]) for r in spark.read.parquet(out).collect()}
     assert got == {1: ("FRAUD", "HIGH"), 2: ("CLEAN", "HIGH")}
+
+
+def test_feature_rows_are_upserted(spark, tmp_path):
+    table, source, checkpoint = (str(tmp_path / n) for n in ("t", "s", "c"))
+    for part in ([(1, 0, 1.0, 1, "W"), (2, 5, 1.0, 1, "W")], [(1, 9, 7.0, 1, "W")]):
+        frame(spark, part).write.mode("append").parquet(source)
+        stream = read_event_stream(spark, source, SCHEMA)
+        jobs.run_each_batch(stream, jobs.upsert_sink(table, "TransactionID", "TransactionDT"), checkpoint)
+    assert {r["TransactionID"]: r["TransactionAmt"] for r in spark.read.parquet(table).collect()} == {1: 7.0, 2: 1.0}
