@@ -132,9 +132,13 @@ def config_from_mapping(raw: Any) -> Config:
     values: dict[str, Any] = {}
     for path, name in _YAML_FIELDS.items():
         node: Any = raw
-        for part in path:
+        for part in path[:-1]:
             node = node.get(part) if isinstance(node, dict) else None
-        if node is not None:
+        if not isinstance(node, dict) or path[-1] not in node:
+            continue
+        node = node[path[-1]]
+        # Only the row cap may be switched off by an explicit null.
+        if node is not None or name == "max_training_rows":
             values[name] = tuple(node) if isinstance(node, list) else node
     windows = (raw.get("features") or {}).get("rolling_windows") or {}
     for key, (name, unit) in _YAML_WINDOWS.items():

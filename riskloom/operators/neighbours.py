@@ -10,6 +10,7 @@ collapsed to their k + 1 smallest ids first, so a large group of copies costs on
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,8 @@ from riskloom.operators.ranks import numbered
 from riskloom.operators.sampling import class_sizes, new_minority_rows
 from riskloom.session import settle
 
-MAX_PIVOTS = 512
+# The pivots and the distances between them go to every executor: at most this many squared numbers.
+MAX_PIVOTS = 2048
 
 
 def _distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -52,7 +54,10 @@ class _Cells:
         self.blocks = np.zeros(len(pivots), dtype=int)
 
     def wanted(self, vectors: np.ndarray) -> np.ndarray:
-        """Which cells can hold one of the k nearest of each row."""
+        """Which cells can hold one of the k nearest of each row, worked out a few rows at a time."""
+        return np.concatenate([self._wanted(vectors[i : i + 256]) for i in range(0, len(vectors), 256)])
+
+    def _wanted(self, vectors: np.ndarray) -> np.ndarray:
         to_pivot = _distances(vectors, self.pivots)
         bounds = (to_pivot[:, :, None] + self.closest[None, :, :]).reshape(len(vectors), -1)
         reach = np.partition(bounds, self.k, axis=1)[:, self.k] if bounds.shape[1] > self.k else np.full(len(vectors), np.inf)
@@ -75,14 +80,16 @@ def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | Non
     n = once.count()
     if n == 0:
         return points.sparkSession.createDataFrame([], f"id {id_type}, rank int, neighbour {id_type}, distance double")
-    count = min(n, pivots or max(4, min(MAX_PIVOTS, 2 * n // block_rows)))
+    count = min(n, pivots or max(4, min(MAX_PIVOTS, isqrt(n))))
     chosen = once.orderBy(hash32(DEFAULT.seed, "pivot", F.col("vid"))).limit(count).collect()
     cells = _Cells(np.array([r["vec"] for r in chosen], dtype=float), k)
 
+    centres = points.sparkSession.sparkContext.broadcast(cells.pivots)
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                to_pivot = _distances(np.stack(batch["vec"].to_numpy()), cells.pivots)
+                to_pivot = _distances(np.stack(batch["vec"].to_numpy()), centres.value)
                 yield batch.assign(cell=to_pivot.argmin(axis=1).astype("int32"), gap=to_pivot.min(axis=1))
 
     shape = f"vid {id_type}, vec array<double>, members array<{id_type}>"
@@ -96,10 +103,12 @@ def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | Non
     ).collect():
         cells.closest[r["cell"], : len(r["g"])] = r["g"]
 
+    known = points.sparkSession.sparkContext.broadcast(cells)
+
     def count_targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                hits = cells.wanted(np.stack(batch["vec"].to_numpy())).sum(axis=0)
+                hits = known.value.wanted(np.stack(batch["vec"].to_numpy())).sum(axis=0)
                 yield pd.DataFrame({"cell": np.arange(len(hits), dtype="int32"), "n": hits.astype("int64")})
 
     asked = placed.select("vec").mapInPandas(count_targets, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
@@ -110,7 +119,7 @@ def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | Non
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                row, cell = np.nonzero(cells.wanted(np.stack(batch["vec"].to_numpy())))
+                row, cell = np.nonzero(known.value.wanted(np.stack(batch["vec"].to_numpy())))
                 yield pd.DataFrame({"vid": batch["vid"].to_numpy()[row], "vec": batch["vec"].to_numpy()[row], "cell": cell.astype("int32")})
 
     # Every block of a cell meets every chunk of the rows sent to that cell.

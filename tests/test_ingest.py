@@ -106,6 +106,8 @@ def test_config_file(tmp_path):
     file.write_text('{"data": {"max_training_rows": 7}, "features": {"rolling_windows": {"user_days": 2}}, "model": {"xgboost": {"n_estimators": 9}}}')
     cfg = load_config(file)
     assert (cfg.max_training_rows, cfg.user_window, cfg.n_trees, cfg.velocity_window) == (7, 172800, 9, 3600)
+    assert config_from_mapping({"data": {"max_training_rows": None}}).max_training_rows is None
+    assert config_from_mapping({"data": {}, "model": {"name": None}}) == DEFAULT
     with pytest.raises(FileNotFoundError):
         load_config(tmp_path / "none.yaml")
     with pytest.raises(ConfigError):
