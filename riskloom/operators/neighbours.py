@@ -133,19 +133,22 @@ def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | Non
                          F.explode(F.sequence(F.lit(0), chunks_of - 1)).alias("chunk"))
 
     def compare(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        askers, others, lengths = [], [], []
         if len(asking) and len(held):
-            x, names = np.stack(held["vec"].to_numpy()), held["vid"].to_numpy()
-            for start in range(0, len(asking), 512):
-                part = asking.iloc[start : start + 512]
-                d = _distances(np.stack(part["vec"].to_numpy()), x)
-                last = np.partition(d, min(k, d.shape[1] - 1), axis=1)[:, min(k, d.shape[1] - 1)]
-                for vid, row, limit in zip(part["vid"].to_numpy(), d, last):
+            x, names, ids = np.stack(held["vec"].to_numpy()), held["vid"].to_numpy(), asking["vid"].to_numpy()
+            questions = np.stack(asking["vec"].to_numpy())
+            last = min(k, len(names) - 1)
+            for start in range(0, len(ids), 512):
+                d = _distances(questions[start : start + 512], x)
+                limits = np.partition(d, last, axis=1)[:, last]
+                for i, (row, limit) in enumerate(zip(d, limits)):
                     near = np.nonzero(row <= limit)[0]
                     near = near[np.lexsort((names[near], row[near]))][: k + 1]
-                    found.append(pd.DataFrame({"vid": vid, "other": names[near], "distance": row[near]}))
-        empty = pd.DataFrame({"vid": [], "other": [], "distance": []})
-        return pd.concat(found) if found else empty
+                    askers.append(np.repeat(ids[start + i], len(near)))
+                    others.append(names[near])
+                    lengths.append(row[near])
+        joined = (np.concatenate(p) if p else [] for p in (askers, others, lengths))
+        return pd.DataFrame(dict(zip(("vid", "other", "distance"), joined)))
 
     by = ["cell", "block", "chunk"]
     candidates = questions.groupBy(*by).cogroup(data.groupBy(*by)).applyInPandas(
