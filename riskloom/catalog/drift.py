@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import query
-from riskloom.catalog.sql import FEATURE_COLUMNS, NEWEST_5000, TXN, engineered, keyed, normal, shifted, sql, u
+from riskloom.catalog.sql import FEATURE_COLUMNS, NEWEST_5000, TXN, engineered, normal, shifted, sql, u
 from riskloom.config import DEFAULT
 from riskloom.operators import drift, ranks, shift
 from riskloom.plans.drift import baseline_exclude, drift_frames, make_shifted_batch

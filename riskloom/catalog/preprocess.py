@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import query
 from riskloom.catalog.sql import SCORED, SPLIT, TXN, h32, keyed, sql, u
-from riskloom.config import DEFAULT
 from riskloom.functions import scalars
 from riskloom.operators import cleaning, encode, monitor, neighbours, sampling
 from riskloom.plans.features import add_temporal

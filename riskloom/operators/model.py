@@ -13,7 +13,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.config import DEFAULT, Config
-from riskloom.functions.scalars import hash32
 from riskloom.operators.encode import PreprocessParams, apply_preprocess
 from riskloom.operators.metrics import confusion_matrix, with_scores
 from riskloom.operators.sampling import class_sizes, kfold_assign
