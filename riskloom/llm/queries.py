@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import content_sort, harmonic, prefix_bpe, rule_ledger, simhash_trie, token_counts
+from riskloom.llm import (content_sort, harmonic, interpolated_lm, lang_gru, prefix_bpe, quality_embed, rule_ledger, secret_links, simhash_trie,
+                          token_counts)
 from riskloom.llm.common import read
 
 
+def op1_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lang_gru.identified(docs, lang_gru.train(docs))
+
+
+def op2_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.secrets(read(spark, sf_dir, "documents"))
+
+
+def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.lm_scores(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_embed.scored(docs, quality_embed.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op5_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.encoded(read(spark, sf_dir, "documents"))
 
@@ -33,8 +52,8 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.apply_policy(book)
 
 
-QUERIES = {f.__name__: f for f in (op5_prefix_bpe, op6_content_sort, op7_simhash_trie, op8_token_counts, op9_harmonic_packing,
-                                   op10_rule_ledger)}
+QUERIES = {f.__name__: f for f in (op1_lang_gru, op2_secret_links, op3_interpolated_lm, op4_quality_embed, op5_prefix_bpe, op6_content_sort,
+                                   op7_simhash_trie, op8_token_counts, op9_harmonic_packing, op10_rule_ledger)}
 
 ORACLES = {
     "op6_content_sort": r"""
