@@ -7,8 +7,9 @@ documents whose own counts are deleted from the estimates; the final estimates u
 Texts are read once, into blocks: the distinct words of some megabytes of text and its tokens as numbers. Counts are exact over all
 learning documents: each block sends its distinct words and word pairs with their counts, pre-aggregated, to buckets of their hashes,
 and gets the totals back in the same order. A word or pair that fills a third of all text is one entry of a block like any other.
-Words go by 64 hash bits; pairs by 48 bits within their bucket, and the number of buckets follows the input, so the share of pairs
-that meet by chance (some in a hundred million) does not grow with it.
+Words go by 64 hash bits; pairs by 40 bits within their bucket, and the number of buckets follows the input, so the share of pairs
+that meet by chance (about one in a million) does not grow with it. Rows that travel are as many as blocks times buckets: for very
+large inputs give larger blocks and buckets, which cost memory in proportion.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from riskloom.llm.common import fold, ship, slices
 from riskloom.session import settle
 
 FOLDS, TEST, DELETED = 7, 2, 3
-BLOCK, BUCKET_TOKENS = 12 << 20, 2_000_000
+#: Bytes of text in a block, tokens in a bucket.
+BLOCK, BUCKET_TOKENS = 6 << 20, 2_000_000
 LEVELS, ROUNDS = 24, 8
 #: Hashes of the two marks, as if they were words; no word has white space.
 END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(m)) for m in (b" end", b" begin"))
-PAIR_BYTES = 6
+WORD_BITS, PAIR_BITS = 64, 40
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -43,7 +45,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct words in order, the words of all texts as places in them, and each text's number of words."""
+    """Hashes of the distinct words by falling frequency, the words of all texts as places in them, and each text's number of words."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     offsets = split.offsets.to_numpy().astype(np.int64)
     words = split.values.slice(offsets[0], offsets[-1] - offsets[0])
@@ -53,7 +55,8 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     coded = words.filter(real).dictionary_encode()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(w.as_buffer()) for w in coded.dictionary], np.uint64)
-    order = np.argsort(hashes, kind="stable")
+    uses = np.bincount(coded.indices.to_numpy(), minlength=len(hashes))
+    order = np.argsort(-uses, kind="stable")  # frequent words first: small numbers
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return hashes[order], place[coded.indices.to_numpy()].astype(np.int32), counts
@@ -63,14 +66,14 @@ class Grams:
     """Distinct words and word pairs of a block, sorted by hash, and where each token finds its own."""
 
     def __init__(self, words: bytes, places: bytes, counts: list[int]):
-        words = np.frombuffer(words, np.uint64)
+        words, places = np.frombuffer(words, np.uint64), unpacked(places)
         sizes = np.array(counts, np.int64)
         n = int(sizes.sum()) + len(sizes)
         self.edges = np.concatenate([[0], np.cumsum(sizes + 1)])
         current = np.full(n, len(words), np.int64)  # the end mark
         inner = np.ones(n, bool)
         inner[self.edges[1:] - 1] = False
-        current[inner] = np.frombuffer(places, np.int32)
+        current[inner] = places
         previous = np.empty(n, np.int64)
         previous[1:] = current[:-1]
         previous[self.edges[:-1]] = len(words) + 1  # the begin mark
@@ -90,18 +93,33 @@ def _bounds(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(keys)]
 
 
-def _short(keys: np.ndarray, bits: int) -> bytes:
-    left = (keys << np.uint64(bits)) >> np.uint64(64 - 8 * PAIR_BYTES)
-    return left.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES].tobytes()
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers in as many bytes as the largest needs, byte by byte, compressed."""
+    wide = np.ascontiguousarray(numbers, "<u8")
+    width = max(1, (int(wide.max(initial=0)).bit_length() + 7) // 8)
+    raw = wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def _long(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // PAIR_BYTES, 8), np.uint8)
-    out[:, :PAIR_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, PAIR_BYTES)
+def unpacked(raw: bytes) -> np.ndarray:
+    width, size = raw[0], int.from_bytes(raw[1:9], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(raw[9:], size), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
     return out.view("<u8").ravel()
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sent(keys: np.ndarray, bits: int, wanted: int) -> bytes:
+    """Sorted keys of one bucket: differences of the ``wanted`` hash bits (bucket's own left out)."""
+    left = (keys << np.uint64(bits)) >> np.uint64(64 - min(wanted, 64 - bits))
+    return packed(np.diff(left, prepend=np.uint64(0)))
+
+
+def _received(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw))
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), fold(id_col, FOLDS).cast("int").alias("fold"))
     kind = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(source.schema["doc_id"].dataType)),
                          T.StructField("folds", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType())),
@@ -112,7 +130,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             at = 0
-            for texts in next(slices([batch.column(1)], BLOCK))[1]:
+            for texts in next(slices([batch.column(1)], block_bytes))[1]:
                 folds = batch.column(2).slice(at, len(texts)).to_numpy(zero_copy_only=False)
                 ids = batch.column(0).slice(at, len(texts))
                 at += len(texts)
@@ -122,7 +140,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         continue
                     words, places, counts = tokenised(texts.take(rows))
                     values = [number + deleted, ids.take(rows).to_pylist(), folds[rows.to_numpy()].tolist(), counts.tolist(),
-                              int(counts.sum()) + len(rows), words.tobytes(), places.tobytes()]
+                              int(counts.sum()) + len(rows), words.tobytes(), packed(places)]
                     yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
                 number += 2
 
@@ -135,37 +153,39 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def _requests(blocks: DataFrame, bits: int) -> DataFrame:
-    """A row for each block and bucket: its distinct words and pairs, with their counts in kept and in deleted documents."""
+    """A row for each block and bucket: its distinct words and pairs, with their counts in learning documents."""
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _rows(batch):
                 g = Grams(r["words"], r["places"], r["counts"])
-                folds = np.array(r["folds"])[g.doc]
-                sums = []
-                for at, keys in ((g.token, g.words), (g.pair, g.pairs)):
-                    for mask in ((folds != TEST) & (folds != DELETED), folds == DELETED):
-                        sums.append(np.bincount(at[mask], minlength=len(keys)).astype(np.uint32))
+                learn = (np.array(r["folds"]) != TEST)[g.doc]
+                words, pairs = (np.bincount(at[learn], minlength=len(keys)) for at, keys in ((g.token, g.words), (g.pair, g.pairs)))
                 w, p = _bounds(g.words, bits), _bounds(g.pairs, bits)
                 for b in range(1 << bits):
                     ws, ps = slice(w[b], w[b + 1]), slice(p[b], p[b + 1])
                     if ws.stop > ws.start or ps.stop > ps.start:
                         yield pa.RecordBatch.from_pydict({
                             "bucket": pa.array([b], pa.int32()), "block": pa.array([r["block"]], pa.int64()),
-                            "words": pa.array([g.words[ws].tobytes()], pa.binary()), "pairs": pa.array([_short(g.pairs[ps], bits)], pa.binary()),
-                            "word_counts": pa.array([sums[0][ws].tobytes() + sums[1][ws].tobytes()], pa.binary()),
-                            "pair_counts": pa.array([sums[2][ps].tobytes() + sums[3][ps].tobytes()], pa.binary())})
+                            "words": pa.array([_sent(g.words[ws], bits, WORD_BITS)], pa.binary()),
+                            "pairs": pa.array([_sent(g.pairs[ps], bits, PAIR_BITS)], pa.binary()),
+                            "word_counts": pa.array([packed(words[ws])], pa.binary()), "pair_counts": pa.array([packed(pairs[ps])], pa.binary())})
 
     return blocks.select("block", "folds", "counts", "words", "places").mapInArrow(
         ask, "bucket int, block long, words binary, pairs binary, word_counts binary, pair_counts binary")
 
 
-def _totals(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Totals for each sender's keys, in its order, and the totals of the distinct keys."""
-    sizes = [len(k) for k in keys]
+def _totals(keys: list[np.ndarray], counts: list[bytes], deleted: list[bool]) -> tuple[list[bytes], np.ndarray]:
+    """Totals for each sender's keys, in its order, and the totals of the distinct keys, of kept and of deleted documents.
+
+    A block of the deleted part is told both totals, any other their sum.
+    """
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-    both = [np.frombuffer(c, np.uint32).reshape(2, -1) for c in counts]
-    sums = np.stack([np.bincount(back, np.concatenate([b[i] for b in both]), len(distinct)) for i in (0, 1)]).astype(np.int64)
-    return [np.ascontiguousarray(sums[:, part]).astype(np.uint32).tobytes() for part in np.split(back, np.cumsum(sizes)[:-1])], sums
+    back = np.split(back, np.cumsum([len(k) for k in keys])[:-1])
+    sums = np.zeros((2, len(distinct)), np.int64)
+    for at, count, of_deleted in zip(back, counts, deleted):
+        np.add.at(sums[int(of_deleted)], at, unpacked(count).astype(np.int64))
+    total = sums.sum(axis=0)
+    return [packed(sums[:, at].ravel() if of_deleted else total[at]) for at, of_deleted in zip(back, deleted)], sums
 
 
 def _answers(requests: DataFrame) -> DataFrame:
@@ -175,8 +195,9 @@ def _answers(requests: DataFrame) -> DataFrame:
 
     def add(table: pa.Table) -> pa.Table:
         raw = {n: table.column(n).to_pylist() for n in table.column_names}
-        words, sums = _totals([np.frombuffer(w, np.uint64) for w in raw["words"]], raw["word_counts"])
-        pairs, _ = _totals([_long(p) for p in raw["pairs"]], raw["pair_counts"])
+        deleted = [b % 2 == 1 for b in raw["block"]]
+        words, sums = _totals([_received(w) for w in raw["words"]], raw["word_counts"], deleted)
+        pairs, _ = _totals([_received(p) for p in raw["pairs"]], raw["pair_counts"], deleted)
         n = len(words)
         total = sums.sum(axis=0)
         return pa.table({"block": pa.array([*raw["block"], -1], pa.int64()), "bucket": pa.array([*raw["bucket"], raw["bucket"][0]], pa.int32()),
@@ -197,9 +218,10 @@ def _counts(r: dict, g: Grams, kept_only: bool) -> tuple[np.ndarray, np.ndarray,
     """For each token: counts of its pair, of its context and of itself."""
     out = []
     for name in ("word_counts", "pair_counts"):
-        parts = [np.frombuffer(t[name], np.uint32).reshape(2, -1).astype(np.int64) for t in sorted(r["told"], key=lambda t: t["bucket"])]
-        both = np.concatenate(parts, axis=1)
-        out.append(both[0] if kept_only else both.sum(axis=0))
+        parts = [unpacked(t[name]).astype(np.int64) for t in sorted(r["told"], key=lambda t: t["bucket"])]
+        if r["block"] % 2:
+            parts = [p.reshape(2, -1)[0] if kept_only else p.reshape(2, -1).sum(axis=0) for p in parts]
+        out.append(np.concatenate(parts))
     return out[1][g.pair], out[0][g.context], out[0][g.token]
 
 
@@ -225,7 +247,7 @@ def _evidence(joined: DataFrame, kept: int, distinct: int) -> DataFrame:
                                                   "estimates": pa.array([p[:2].tobytes()], pa.binary()),
                                                   "times": pa.array([times.astype(np.int64).tobytes()], pa.binary())})
 
-    return settle(joined.select("words", "places", "counts", "told").mapInArrow(gather, "level binary, estimates binary, times binary"), "lm-evidence")
+    return settle(joined.select("block", "words", "places", "counts", "told").mapInArrow(gather, "level binary, estimates binary, times binary"), "lm-evidence")
 
 
 def learn_weights(evidence: DataFrame, distinct: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -255,16 +277,17 @@ def learn_weights(evidence: DataFrame, distinct: int, rounds: int = ROUNDS) -> n
     return weights
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK,
+              bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
     """Tokens, known tokens, add-one unigram score and interpolated score (log10) of every row of ``docs``.
 
     A null or empty text is its end alone. A null id counts as the empty text for the folds; repeated rows count as often as they
     occur; other columns are not read; with nothing to learn from, only the uniform floor is left.
     """
     ship(docs.sparkSession)
-    blocks = _blocks(docs, id_col, text_col)
+    blocks = _blocks(docs, id_col, text_col, block_bytes)
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    bits = max(3, int(tokens // BUCKET_TOKENS).bit_length())
+    bits = max(3, int(tokens // bucket_tokens).bit_length())
     answers = _answers(_requests(blocks, bits))
     told = answers.filter("block >= 0")
     kept, learned, distinct = answers.filter("block < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("kept", "learned", "distinct")]).first()
@@ -287,4 +310,4 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                           np.full(n, learned), per_doc(np.log10((word + 1) / (learned + distinct + 1))), per_doc(np.log10(p))]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, arrow)], schema=arrow)
 
-    return _joined(blocks, told).select("ids", "folds", "counts", "words", "places", "told").mapInArrow(rate, kind)
+    return _joined(blocks, told).select("block", "ids", "folds", "counts", "words", "places", "told").mapInArrow(rate, kind)
