@@ -31,7 +31,7 @@ from riskloom.session import settle
 
 FOLDS, TEST, DELETED = 7, 2, 3
 #: Bytes of text in a block, tokens in a bucket.
-BLOCK, BUCKET_TOKENS = 6 << 20, 2_000_000
+BLOCK, BUCKET_TOKENS = 4 << 20, 2_000_000
 LEVELS, ROUNDS = 24, 8
 #: Hashes of the two marks, as if they were words; no word has white space.
 END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(m)) for m in (b" end", b" begin"))
