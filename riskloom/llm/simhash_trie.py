@@ -146,9 +146,9 @@ def _nodes(prints: DataFrame, limit: int) -> DataFrame:
         table = F.create_map(*[x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(t)) for t in _thirds(m)]))])
         rows = (rows.join(hot, ["mask", "node"], "left_semi")
                 .select("fp", F.explode(table[F.col("mask")]).alias("mask"))
-                .withColumn("node", F.col("fp").bitwiseAND(F.col("mask"))))
+                .withColumn("node", F.col("fp").bitwiseAND(F.col("mask"))).distinct())
         rows = settle(rows, "split-nodes")
-        masks = [t for m in masks for t in _thirds(m)]
+        masks = sorted({t for m in masks for t in _thirds(m)})  # two ways may fix the same bits
     every = done[0]
     for more in done[1:]:
         every = every.unionByName(more)
@@ -221,8 +221,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that have their component's smallest id, with all their columns; rows without an id stay."""
     ship(docs.sparkSession)
     prints = settle(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), "prints")
-    tag, key = fresh(docs.columns, "fp"), fresh([*docs.columns, "fp"], "key")
-    gone = near_groups(prints).filter("doc_id != component_id").select(F.col("doc_id").alias(key), F.col("fp").alias("fp_")).distinct()
+    names = docs.columns
+    tag, key = fresh(names, "print_of"), fresh(names, "gone_id")
+    other = fresh(names, "gone_print")
+    gone = (near_groups(prints).filter("doc_id != component_id")
+            .select(F.col("doc_id").alias(key), F.col("fp").alias(other)).distinct())
     tagged = docs.withColumn(tag, fingerprint(F.col(text_col)))
-    on = (F.col(id_col) == F.col(key)) & (F.col(tag) == gone["fp_"])
-    return tagged.join(gone, on, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    on = (F.col(id_col) == F.col(key)) & (F.col(tag) == F.col(other))
+    return tagged.join(gone, on, "left_anti").select(*[F.col(f"`{c}`") for c in names])
