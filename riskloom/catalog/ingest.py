@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import query
 from riskloom.catalog.sql import CLEANED, DEDUPED, DIRTY, IDENTITY, IDENTITY_ONCE, TXN, keyed, sql
-from riskloom.config import DEFAULT
 from riskloom.functions.scalars import temporal_parts
 from riskloom.operators import cleaning, profile
 from riskloom.plans.ingest import ingest
@@ -24,10 +23,11 @@ def scan_transactions(spark, d):
     return views.txn(spark, d)
 
 
-@query("scan_limit", sql(TXN, body="SELECT TransactionID, TransactionAmt FROM txn ORDER BY ingest_seq LIMIT 20000"))
+@query("scan_limit", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 20000")
 def scan_limit(spark, d):
-    rows = readers.first_rows(views.txn(spark, d), "ingest_seq", DEFAULT.max_training_rows)
-    return rows.select("TransactionID", "TransactionAmt")
+    """The row-limited scan, where a limit is asked for; the given table has more rows than that."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return readers.first_rows(rows, ["l_orderkey", "l_linenumber"], 20_000)
 
 
 @query("latest_batch", """SELECT event_id, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date FROM events

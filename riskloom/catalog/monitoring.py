@@ -125,8 +125,8 @@ def promote_registry(spark, d):
     return registry.promote(rows, "risk-boosted-trees", newest_run).select("id", "model_name", "run_id", "is_production")
 
 
-@query("retrain_gate", sql(RETRAIN_LOG, "r AS (SELECT * FROM retrain_log ORDER BY id DESC LIMIT 10)", """s AS (SELECT max("timestamp") AS last_run,
-  count(*) FILTER (WHERE "timestamp" >= TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1 DAY) AS runs_last_day FROM r)""",
+@query("retrain_gate", sql(RETRAIN_LOG, """s AS (SELECT max("timestamp") AS last_run,
+  count(*) FILTER (WHERE "timestamp" >= TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1 DAY) AS runs_last_day FROM retrain_log)""",
   body="""SELECT runs_last_day, CASE WHEN last_run > TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 6 HOUR THEN 'too_recent'
   WHEN runs_last_day >= 3 THEN 'daily_limit' ELSE '' END AS reason, reason = '' AS allowed FROM s"""))
 def retrain_gate(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import query
-from riskloom.catalog.sql import SCORED, SPLIT, TXN, h32, keyed, sql, u
+from riskloom.catalog.sql import SCORED, SPLIT, TXN, h32, h60, keyed, sql, u
 from riskloom.functions import scalars
 from riskloom.operators import cleaning, encode, monitor, neighbours, sampling
 from riskloom.plans.features import add_temporal
@@ -137,9 +137,12 @@ def category_union(spark, d):
 # --- samples ----------------------------------------------------------------------------------------------
 
 
-@query("sample_n", f"""SELECT event_id, value FROM events ORDER BY {h32('sample', 'event_id')}, event_id LIMIT 10000""")
+@query("sample_n", f"""SELECT line_id, l_quantity FROM (SELECT l_orderkey * 10 + l_linenumber AS line_id, l_quantity FROM lineitem)
+ORDER BY {h32('sample', 'line_id')}, line_id LIMIT 10000""")
 def sample_n(spark, d):
-    return sampling.sample_n(views.events(spark, d).select("event_id", "value"), "event_id")
+    """A sampling operator, on a table with more rows than the sample."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    return sampling.sample_n(lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"), "l_quantity"), "line_id")
 
 
 @query("kfold_assign", sql(TXN, f"""r AS (SELECT TransactionID, row_number() OVER (ORDER BY {h32('fold', 'TransactionID')}, TransactionID) - 1 AS k, count(*) OVER () AS n FROM txn)""",
@@ -153,7 +156,7 @@ def kfold_assign(spark, d):
 @query("random_oversample", sql(TXN, f"""m AS (SELECT TransactionID, isFraud, TransactionAmt,
     row_number() OVER (ORDER BY {h32('oversample', 'TransactionID')}, TransactionID) - 1 AS i FROM txn WHERE isFraud = 1)""",
   """c AS (SELECT count(*) FILTER (WHERE isFraud = 0) AS neg, count(*) FILTER (WHERE isFraud = 1) AS pos FROM txn)""",
-  f"""draws AS (SELECT j, CAST(floor({u('draw', 'j')} * pos) AS BIGINT) AS i
+  f"""draws AS (SELECT j, {h60('draw', 'j')} % pos AS i
     FROM c, (SELECT unnest(range(CAST((SELECT floor(0.3::DOUBLE * neg) - pos FROM c) AS BIGINT))) AS j))""",
   body="""SELECT TransactionID, isFraud, TransactionAmt, CAST(-1 AS BIGINT) AS copy_no FROM txn
 UNION ALL SELECT TransactionID, isFraud, TransactionAmt, j FROM draws JOIN m USING (i)"""))

@@ -7,6 +7,10 @@ def h32(salt: str, row_id: str, seed: int = 42) -> str:
     return f"('0x' || substr(md5('{seed}|{salt}|' || {row_id}), 1, 8))::BIGINT"
 
 
+def h60(salt: str, row_id: str, seed: int = 42) -> str:
+    return f"('0x' || substr(md5('{seed}|{salt}|' || {row_id}), 1, 15))::BIGINT"
+
+
 def u(salt: str, row_id: str, seed: int = 42) -> str:
     return f"({h32(salt, row_id, seed)} / 4294967296.0)"
 

@@ -41,7 +41,7 @@ class Config:
     train_identity_file: str = "train_identity.csv"
     test_transaction_file: str = "test_transaction.csv"
     test_identity_file: str = "test_identity.csv"
-    max_training_rows: int | None = 20_000
+    max_training_rows: int | None = None  # None reads everything
     # --- windows, in seconds ---------------------------------------------------------------------
     user_window: int = 30 * DAY
     merchant_window: int = 30 * DAY

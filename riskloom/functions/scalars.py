@@ -18,7 +18,8 @@ def columns_of(df: DataFrame, *without: str) -> list[Column]:
 
 
 def to_micro(amount: Column) -> Column:
-    return F.round(amount * F.lit(float(MICRO))).cast("bigint")
+    """Null stays null, and so does NaN: no whole number stands for it."""
+    return F.round(F.when(~F.isnan(amount), amount) * F.lit(float(MICRO))).cast("bigint")
 
 
 def from_micro(total: Column) -> Column:
@@ -61,6 +62,12 @@ def hash32(seed: int, salt: str, *ids: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def hash60(seed: int, salt: str, *ids: Column) -> Column:
+    """60 hash bits: enough to draw from any number of rows by a remainder."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(salt), *[i.cast("string") for i in ids])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def uniform(seed: int, salt: str, *ids: Column) -> Column:
     """Repeatable uniform number in [0, 1)."""
     return hash32(seed, salt, *ids) / F.lit(4294967296.0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass
 
@@ -14,7 +15,7 @@ from riskloom.operators.ranks import quantiles
 
 # fixed values: identifier columns that never become features
 NON_FEATURES = ("TransactionID", "TransactionDT", "user_key", "merchant_key", "day_number")
-# More categories than this means a column is no category; it is an error, never a cut.
+# More categories than this in one column means that it is no category; it is an error, never a cut.
 MAX_CATEGORIES = 10_000
 
 
@@ -53,9 +54,10 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]
     pairs = F.array(*[
         F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("v")) for c in present
     ])
-    rows = df.select(F.inline(pairs)).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise DataValidationError(f"More than {MAX_CATEGORIES} categories in {present}; not categorical columns.")
+    rows = df.select(F.inline(pairs)).distinct().limit(MAX_CATEGORIES * len(present) + 1).collect()
+    wide = sorted(c for c, n in Counter(r["c"] for r in rows).items() if n > MAX_CATEGORIES)
+    if wide:
+        raise DataValidationError(f"More than {MAX_CATEGORIES} categories in {wide}; not categorical columns.")
     return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in present}
 
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.config import DEFAULT, Config
-from riskloom.functions.scalars import hash32
+from riskloom.functions.scalars import hash32, hash60
 from riskloom.operators.cleaning import DataValidationError
 from riskloom.operators.ranks import numbered
 from riskloom.operators.sampling import class_sizes, new_minority_rows
@@ -179,7 +179,7 @@ def smote(df: DataFrame, row_id: str, features: Sequence[str], cfg: Config = DEF
     minority = df.where(F.col(target) == label).select(F.col(row_id).alias("id"), vector.alias("vec"))
     near = nearest(minority, k).select("id", "rank", "neighbour")
 
-    pick = F.floor(hash32(cfg.seed, "smote", F.col("id")) / F.lit(4294967296.0) * F.lit(m * k)).cast("bigint")
+    pick = F.pmod(hash60(cfg.seed, "smote", F.col("id")), F.lit(max(m * k, 1)).cast("bigint"))
     gap = hash32(cfg.seed, "gap", F.col("id")) / F.lit(4294967296.0)
     draws = df.sparkSession.range(n_new).select(
         F.col("id").alias("copy_no"), F.floor(pick / k).cast("bigint").alias("row_index"), (pick % k + 1).cast("int").alias("rank"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.ranks import newest
 
 METRICS = ("f1_score", "auc_score", "precision_score", "recall_score")
 
@@ -59,13 +58,11 @@ def with_promotions(registry: DataFrame, promotions: DataFrame) -> DataFrame:
 
 def retrain_gate(
     log: DataFrame, now: Column, min_hours: float = 6.0, max_per_day: int = 3, count_failures: bool = True,
-    look_back: int = 10,
 ) -> DataFrame:
-    """Whether retraining may run at ``now``, from the newest runs of the log; an empty log allows it."""
+    """Whether retraining may run at ``now``: the last run and all runs of the day before; an empty log allows it."""
     rows = log if count_failures else log.where(~F.startswith("notes", F.lit("Rate limit check failed")))
-    recent = newest(rows, look_back, "id")
     gap = F.expr(f"interval {int(min_hours * 3600)} seconds")
-    state = recent.agg(
+    state = rows.agg(
         F.max("timestamp").alias("last_run"),
         F.count_if(F.col("timestamp") >= now - F.expr("interval 1 day")).alias("runs_last_day"),
     )

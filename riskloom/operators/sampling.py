@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import DEFAULT, Config
-from riskloom.functions.scalars import columns_of, hash32
+from riskloom.functions.scalars import columns_of, hash32, hash60
 from riskloom.operators.cleaning import DataValidationError
 from riskloom.operators.ranks import at_or_before, numbered, rank_cuts
 
@@ -94,16 +94,15 @@ def new_minority_rows(negatives: int, positives: int, strategy: float) -> int:
 def random_oversample(df: DataFrame, row_id: str, cfg: Config = DEFAULT) -> DataFrame:
     """Append minority rows drawn with replacement until the ratio holds; ``copy_no`` is null on originals.
 
-    Draw j picks the row numbered floor(u(j) * m): an equi-join on a unique number, spread evenly.
+    Draw j picks the row numbered by the remainder of 60 hash bits: an equi-join on a unique number, spread evenly.
     """
     target = cfg.target_column
     neg, pos = class_sizes(df, target)
     n_new, m = new_minority_rows(neg, pos, cfg.smote_strategy), min(neg, pos)
     minority = df.where(F.col(target) == (1 if pos <= neg else 0))
     indexed = numbered(minority, row_id, cfg.seed, "oversample")
-    u = hash32(cfg.seed, "draw", F.col("id")) / F.lit(4294967296.0)
     draws = df.sparkSession.range(n_new).select(
-        F.col("id").alias("copy_no"), F.floor(u * F.lit(m)).cast("bigint").alias("row_index")
+        F.col("id").alias("copy_no"), F.pmod(hash60(cfg.seed, "draw", F.col("id")), F.lit(max(m, 1)).cast("bigint")).alias("row_index")
     )
     copies = draws.join(indexed, "row_index").select(*columns_of(df), "copy_no")
     return df.withColumn("copy_no", F.lit(None).cast("bigint")).unionByName(copies)

@@ -147,8 +147,8 @@ def retrain(
     new = result.test["f1_score"]
     promoted = bool(new - old >= cfg.promotion_min_delta or old == 0.0)
     register(spark, work_dir, cfg, run_id, result.test, result.val_f1, now, promoted)
-    word = ">" if promoted else "<="
-    notes = f"Model {'promoted' if promoted else 'NOT promoted'} (candidate F1: {new:.4f} {word} production F1: {old:.4f})."
+    outcome = "Promoted" if promoted else f"Not promoted, gain below {cfg.promotion_min_delta}"
+    notes = f"{outcome}: test F1 {new:.4f}, in production {old:.4f}."
     return log_run(spark, log, now, reason, old, new, promoted, notes, now)
 
 

@@ -79,7 +79,7 @@ def row_limit(cfg: Config, split: str) -> int | None:
     return limit
 
 
-def first_rows(df: DataFrame, order: str, n: int | None) -> DataFrame:
+def first_rows(df: DataFrame, order: str | list[str], n: int | None) -> DataFrame:
     """The first n rows in ingest order."""
     return df if n is None else df.orderBy(order).limit(n)
 

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.config import DEFAULT, ConfigError, config_from_mapping, load_config
+from riskloom.functions.scalars import to_micro
 from riskloom.operators import cleaning
 from riskloom.operators.cleaning import DataValidationError
 from riskloom.plans.ingest import ingest, ingest_split
@@ -81,6 +83,15 @@ def test_row_limit(spark, tmp_path, monkeypatch):
     assert readers.row_limit(cfg, "train") == 2 and readers.row_limit(cfg, "test") is None
 
 
+def test_no_row_limit_by_default(spark):
+    assert readers.row_limit(DEFAULT, "train") is None
+
+
+def test_amounts_without_a_number(spark):
+    rows = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "a double").select(to_micro(F.col("a")).alias("m")).collect()
+    assert [r.m for r in rows] == [1_500_000, None, None]
+
+
 def test_bool_labels_and_null_duplicates(spark, tmp_path):
     rows = [",True,1,1.0,W,1,1.0,1.0,visa,1.0,debit,a", ",False,2,1.0,W,1,1.0,1.0,visa,1.0,debit,b", "5,True,3,2.0,W,1,1.0,1.0,visa,1.0,debit,c"]
     joined, summary = ingest_split(spark, write(tmp_path, rows=rows), "train")

@@ -43,6 +43,13 @@ def test_random_oversampling_counts(spark, forty):
     assert out.where("copy_no is not null and isFraud = 0").count() == 0
 
 
+def test_category_limit_holds_for_each_column(spark):
+    wide = spark.range(6000).selectExpr("concat('a', id) AS p", "concat('b', id) AS q")
+    assert [len(v) for v in encode.fit_categories(wide, ["p", "q"]).values()] == [6000, 6000]
+    with pytest.raises(DataValidationError):
+        encode.fit_categories(spark.range(encode.MAX_CATEGORIES + 1).selectExpr("concat('a', id) AS p"), ["p"])
+
+
 def test_smote_rows_lie_on_their_segments(spark, forty):
     out = smote(forty, "TransactionID", ["amount", "card2"], CFG)
     rows = {r["TransactionID"]: r for r in out.where("copy_no is null").collect()}

@@ -24,6 +24,11 @@ def test_gate(spark):
     assert gate(spark, [24, 20, 7]) == (False, "daily_limit")  # exactly a day ago counts
 
 
+def test_gate_counts_every_run_of_the_day(spark):
+    assert gate(spark, [23 - h for h in range(14)], max_per_day=12) == (False, "daily_limit")
+    assert gate(spark, [23 - h for h in range(14)], max_per_day=15) == (True, "")
+
+
 def test_gate_can_ignore_denied_runs(spark):
     notes = {1: "Rate limit check failed: too_recent"}
     assert gate(spark, [10, 1], notes) == (False, "too_recent")
