@@ -211,7 +211,8 @@ def _answers(requests: DataFrame) -> DataFrame:
 
 def _joined(blocks: DataFrame, answers: DataFrame) -> DataFrame:
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "word_counts", "pair_counts")).alias("told"))
-    return blocks.join(told, "block")
+    # Block numbers are unique, and a block's totals are small beside it: hash those, and the large rows are not sorted.
+    return blocks.join(told.hint("shuffle_hash"), "block")
 
 
 def _counts(r: dict, g: Grams, kept_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,7 +304,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
             for r in _rows(batch):
                 g = Grams(r["words"], r["places"], r["counts"])
                 pair, context, word = _counts(r, g, False)
-                p = (_estimates(pair, context, word, learned, distinct) * weights[_level(context)].T).sum(axis=0)
+                parts = weights[_level(context)]
+                p = parts[:, 0] * (pair / np.maximum(context, 1)) + parts[:, 1] * (word / max(learned, 1)) + parts[:, 2] / (distinct + 1)
                 n = len(r["ids"])
                 per_doc = lambda x: np.bincount(g.doc, x, n)
                 values = [r["ids"], [f == TEST for f in r["folds"]], np.diff(g.edges), per_doc(word > 0).astype(np.int64),
