@@ -15,13 +15,14 @@ large inputs give larger blocks and buckets, which cost memory in proportion.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -147,6 +148,18 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Da
     return settle(source.mapInArrow(cut, kind), "lm-blocks")
 
 
+@contextmanager
+def _few_rows(spark: SparkSession, rows: int = 8):
+    """Blocks are rows of megabytes: a batch of a few keeps what lies between the executor and Python small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {n: c[i].as_py() for n, c in zip(batch.schema.names, batch.columns)}
@@ -287,6 +300,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     """
     ship(docs.sparkSession)
     blocks = _blocks(docs, id_col, text_col, block_bytes)
+    with _few_rows(docs.sparkSession):
+        return _scores(blocks, docs.schema[id_col].dataType, bucket_tokens)
+
+
+def _scores(blocks: DataFrame, id_type: T.DataType, bucket_tokens: int) -> DataFrame:
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     bits = max(3, int(tokens // bucket_tokens).bit_length())
     answers = _answers(_requests(blocks, bits))
@@ -294,7 +312,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     kept, learned, distinct = answers.filter("block < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("kept", "learned", "distinct")]).first()
     deleted = _joined(blocks.filter("block % 2 = 1"), told.filter("block % 2 = 1"))
     weights = learn_weights(_evidence(deleted, kept, distinct), distinct)
-    kind = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()),
+    kind = T.StructType([T.StructField("doc_id", id_type), T.StructField("held_out", T.BooleanType()),
                          *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
                          T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     arrow = to_arrow_schema(kind)
@@ -312,4 +330,5 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                           np.full(n, learned), per_doc(np.log10((word + 1) / (learned + distinct + 1))), per_doc(np.log10(p))]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, arrow)], schema=arrow)
 
-    return _joined(blocks, told).select("block", "ids", "folds", "counts", "words", "places", "told").mapInArrow(rate, kind)
+    rated = _joined(blocks, told).select("block", "ids", "folds", "counts", "words", "places", "told").mapInArrow(rate, kind)
+    return settle(rated, "lm-scores")
