@@ -8,7 +8,7 @@ from riskloom.catalog import query
 from riskloom.catalog.sql import FEATURE_COLUMNS, NEWEST_5000, TXN, engineered, normal, shifted, sql, u
 from riskloom.config import DEFAULT
 from riskloom.operators import drift, ranks, shift
-from riskloom.plans.drift import baseline_exclude, drift_frames, make_shifted_batch
+from riskloom.plans.drift import TESTED, baseline_exclude, drift_frames, make_shifted_batch
 from riskloom.sources import views
 
 INTENSITY = 0.5
@@ -111,20 +111,19 @@ BOTH_CTES = (
 )
 
 
-def _both(spark, d):
-    reference, current = drift_frames(views.txn(spark, d).drop("ingest_seq"), INTENSITY)
-    return reference, current
+def _both(spark, d, tested=TESTED):
+    return drift_frames(views.txn(spark, d).drop("ingest_seq"), INTENSITY, tested=tested)
 
 
 @query("drift_ks", sql(*BOTH_CTES, body="SELECT feature_name, n_ref, n_cur, round(d, 9) AS statistic FROM ks"))
 def drift_ks(spark, d):
-    both = drift.tagged(*_both(spark, d), drift.NUMERIC)
+    both = drift.tagged(*_both(spark, d, drift.NUMERIC), drift.NUMERIC)
     return drift.drift_ks(both, drift.NUMERIC).withColumn("statistic", F.round("statistic", 9))
 
 
 @query("drift_chi_square", sql(*BOTH_CTES, body="SELECT feature_name, n_ref, n_cur, dof, round(stat, 6) AS statistic FROM chi"))
 def drift_chi_square(spark, d):
-    both = drift.tagged(*_both(spark, d), drift.CATEGORICAL)
+    both = drift.tagged(*_both(spark, d, drift.CATEGORICAL), drift.CATEGORICAL)
     return drift.drift_chi_square(both, drift.CATEGORICAL).withColumn("statistic", F.round("statistic", 6))
 
 

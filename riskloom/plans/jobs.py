@@ -11,7 +11,7 @@ from riskloom.functions.scalars import confidence, decision
 from riskloom.operators import model, registry
 from riskloom.operators.drift import drift_summary
 from riskloom.operators.encode import PreprocessParams
-from riskloom.plans.drift import baseline_exclude, detect_drift, make_shifted_batch
+from riskloom.plans.drift import TESTED, baseline_exclude, detect_drift, make_shifted_batch, source_columns
 from riskloom.plans.features import engineer_features
 from riskloom.plans.ingest import ingest_split
 from riskloom.plans.train import evaluate, fit, prepare
@@ -94,7 +94,7 @@ def check_drift(cleaned: DataFrame, batch_dir: str, log_path: str, run_date: str
     """Newest batch against the baseline; appends the test rows to the drift log. Verdict and tests."""
     spark = cleaned.sparkSession
     batch = readers.read_latest_batch(spark, batch_dir)
-    reference = engineer_features(baseline_exclude(cleaned, cfg), cfg)
+    reference = engineer_features(baseline_exclude(cleaned, cfg), cfg, wanted=source_columns(TESTED))
     tests = settle(detect_drift(reference, batch, cfg), "tests")
     rows = tests.select(
         F.lit(run_date).cast("date").alias("run_date"), "feature_name", "drift_score", "p_value", "drift_detected",
