@@ -16,10 +16,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from riskloom.config import DEFAULT, load_config  # noqa: E402
+from riskloom.config import DEFAULT, Config, load_config  # noqa: E402
 from riskloom.plans import jobs  # noqa: E402
 from riskloom.plans.ingest import ingest_split  # noqa: E402
-from riskloom.session import build_session  # noqa: E402
+from riskloom.session import build_session, release  # noqa: E402
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -32,7 +32,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--force", action="store_true")
     args = parser.parse_args(argv)
     cfg = load_config(args.config) if args.config else DEFAULT
-    spark = spark or build_session()
+    if spark is not None:
+        return run(spark, args, cfg)
+    spark = build_session()
+    try:
+        return run(spark, args, cfg)
+    finally:
+        release(spark)
+
+
+def run(spark, args: argparse.Namespace, cfg: Config) -> int:
+    """One command on a given session."""
     batches = f"{args.work}/batches"
 
     def cleaned():

@@ -90,18 +90,28 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_ingest_order(df: DataFrame, order: str) -> DataFrame:
-    """File order as a column where the table brings none: position of the file block, then of the row."""
+    """Row order as a column where the frame brings none."""
     return df if order in df.columns else df.withColumn(order, F.monotonically_increasing_id())
 
 
+def in_file_order(df: DataFrame, order: str) -> DataFrame:
+    """Order of a scan as a column where the table brings none: file name, position of the block, then of the row.
+    Spark deals large files to its tasks first, so task numbers alone would not follow the files."""
+    if order in df.columns:
+        return df
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(order, place)
+
+
 def read_split(
     spark: SparkSession, raw_dir: str, split: str, cfg: Config = DEFAULT
 ) -> tuple[DataFrame, DataFrame | None]:
     """Transactions and, where the file exists, identity of one split."""
     transactions, identity = split_paths(spark, raw_dir, split, cfg)
-    rows = with_ingest_order(read_table(spark, transactions), cfg.order_column)
+    rows = in_file_order(read_table(spark, transactions), cfg.order_column)
     rows = first_rows(rows, cfg.order_column, row_limit(cfg, split))
-    side = with_ingest_order(read_table(spark, identity), "identity_seq") if path_exists(spark, identity) else None
+    side = in_file_order(read_table(spark, identity), "identity_seq") if path_exists(spark, identity) else None
     return rows, side
 
 

@@ -123,3 +123,15 @@ def test_config_file(tmp_path):
         load_config(tmp_path / "none.yaml")
     with pytest.raises(ConfigError):
         config_from_mapping([1])
+
+
+def test_first_rows_follow_the_files_not_their_sizes(spark, tmp_path):
+    folder = tmp_path / "raw" / "train_transaction.csv"
+    folder.mkdir(parents=True)
+    first = 0
+    for part, n in enumerate((5, 5000, 50)):
+        lines = [f"{first + i},0,{i},1.0" for i in range(n)]
+        (folder / f"part-{part}.csv").write_text("\n".join(["TransactionID,isFraud,TransactionDT,TransactionAmt", *lines]) + "\n")
+        first += n
+    rows, _ = readers.read_split(spark, str(tmp_path / "raw"), "train", DEFAULT.with_(max_training_rows=7))
+    assert sorted(r.TransactionID for r in rows.select("TransactionID").collect()) == list(range(7))
