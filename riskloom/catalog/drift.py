@@ -85,6 +85,27 @@ def shifted_batch(spark, d):
     return make_shifted_batch(views.txn(spark, d).drop("ingest_seq"), INTENSITY)
 
 
+def drift_ctes(numeric, categorical):
+    """The drift tests of the columns of ``both_sides`` (``cur`` tells the sides apart): tables ks, chi and verdicts."""
+    return (
+        "nums AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature_name, CAST({c} AS DOUBLE) AS v, cur FROM both_sides" for c in numeric) + ")",
+        """n AS (SELECT feature_name, v, count(*) FILTER (WHERE NOT cur) AS r, count(*) FILTER (WHERE cur) AS c FROM nums WHERE v IS NOT NULL GROUP BY ALL)""",
+        """cum AS (SELECT *, sum(r) OVER w AS cr, sum(c) OVER w AS cc, sum(r) OVER (PARTITION BY feature_name) AS n_ref,
+  sum(c) OVER (PARTITION BY feature_name) AS n_cur FROM n WINDOW w AS (PARTITION BY feature_name ORDER BY v))""",
+        """ks AS (SELECT feature_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, max(abs(cr / n_ref - cc / n_cur)) AS d FROM cum GROUP BY ALL)""",
+        "cats AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature_name, {c} AS v, cur FROM both_sides" for c in categorical) + ")",
+        """cc AS (SELECT feature_name, v, count(*) FILTER (WHERE NOT cur) AS r, count(*) FILTER (WHERE cur) AS c FROM cats WHERE v IS NOT NULL GROUP BY ALL)""",
+        """tot AS (SELECT *, sum(r) OVER w AS n_ref, sum(c) OVER w AS n_cur, count(*) OVER w - 1 AS dof FROM cc WINDOW w AS (PARTITION BY feature_name))""",
+        """expd AS (SELECT *, (r + c) * n_ref / (n_ref + n_cur) AS er, (r + c) * n_cur / (n_ref + n_cur) AS ec FROM tot)""",
+        """off AS (SELECT *, abs(r - er) - CASE WHEN dof = 1 THEN least(0.5, abs(r - er)) ELSE 0 END AS dr,
+  abs(c - ec) - CASE WHEN dof = 1 THEN least(0.5, abs(c - ec)) ELSE 0 END AS dc FROM expd)""",
+        """chi AS (SELECT feature_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, dof, sum(dr * dr / er + dc * dc / ec) AS stat FROM off GROUP BY ALL)""",
+        # critical values at 0.05: Kolmogorov 1.3580986, chi-square 3.8414588 (1 dof), 5.9914645 (2), 7.8147279 (3)
+        """verdicts AS (SELECT feature_name, 'ks' AS test, d AS drift_score, d * sqrt(n_ref * n_cur / (n_ref + n_cur)) > 1.3580986393225505 AS drift_detected FROM ks
+  UNION ALL SELECT feature_name, 'chi_square', stat, stat > CASE dof WHEN 1 THEN 3.841458820694124 WHEN 2 THEN 5.991464547107979 ELSE 7.814727903251179 END FROM chi)""",
+    )
+
+
 REFERENCE = """ref_rows AS (SELECT * FROM txn QUALIFY row_number() OVER (ORDER BY TransactionDT DESC, TransactionID DESC)
   > least(5000, (SELECT count(*) FROM txn) // 2))"""
 BUCKET = "CASE WHEN hour <= 6 THEN 'night' WHEN hour <= 12 THEN 'morning' WHEN hour <= 18 THEN 'afternoon' ELSE 'evening' END"
@@ -93,21 +114,7 @@ BOTH_CTES = (
     f"""both_sides AS (
   SELECT amount, velocity_1hr, user_avg_amount_30d, card6, {BUCKET} AS hour_bucket, false AS cur FROM ref
   UNION ALL SELECT amount, velocity_1hr, user_avg_amount_30d, card6, {BUCKET}, true FROM feat WHERE is_inference_batch)""",
-    "nums AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature_name, CAST({c} AS DOUBLE) AS v, cur FROM both_sides" for c in drift.NUMERIC) + ")",
-    """n AS (SELECT feature_name, v, count(*) FILTER (WHERE NOT cur) AS r, count(*) FILTER (WHERE cur) AS c FROM nums WHERE v IS NOT NULL GROUP BY ALL)""",
-    """cum AS (SELECT *, sum(r) OVER w AS cr, sum(c) OVER w AS cc, sum(r) OVER (PARTITION BY feature_name) AS n_ref,
-  sum(c) OVER (PARTITION BY feature_name) AS n_cur FROM n WINDOW w AS (PARTITION BY feature_name ORDER BY v))""",
-    """ks AS (SELECT feature_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, max(abs(cr / n_ref - cc / n_cur)) AS d FROM cum GROUP BY ALL)""",
-    "cats AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature_name, {c} AS v, cur FROM both_sides" for c in drift.CATEGORICAL) + ")",
-    """cc AS (SELECT feature_name, v, count(*) FILTER (WHERE NOT cur) AS r, count(*) FILTER (WHERE cur) AS c FROM cats WHERE v IS NOT NULL GROUP BY ALL)""",
-    """tot AS (SELECT *, sum(r) OVER w AS n_ref, sum(c) OVER w AS n_cur, count(*) OVER w - 1 AS dof FROM cc WINDOW w AS (PARTITION BY feature_name))""",
-    """expd AS (SELECT *, (r + c) * n_ref / (n_ref + n_cur) AS er, (r + c) * n_cur / (n_ref + n_cur) AS ec FROM tot)""",
-    """off AS (SELECT *, abs(r - er) - CASE WHEN dof = 1 THEN least(0.5, abs(r - er)) ELSE 0 END AS dr,
-  abs(c - ec) - CASE WHEN dof = 1 THEN least(0.5, abs(c - ec)) ELSE 0 END AS dc FROM expd)""",
-    """chi AS (SELECT feature_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, dof, sum(dr * dr / er + dc * dc / ec) AS stat FROM off GROUP BY ALL)""",
-    # critical values at 0.05: Kolmogorov 1.3580986, chi-square 3.8414588 (1 dof), 5.9914645 (2), 7.8147279 (3)
-    """verdicts AS (SELECT feature_name, 'ks' AS test, d AS drift_score, d * sqrt(n_ref * n_cur / (n_ref + n_cur)) > 1.3580986393225505 AS drift_detected FROM ks
-  UNION ALL SELECT feature_name, 'chi_square', stat, stat > CASE dof WHEN 1 THEN 3.841458820694124 WHEN 2 THEN 5.991464547107979 ELSE 7.814727903251179 END FROM chi)""",
+    *drift_ctes(drift.NUMERIC, drift.CATEGORICAL),
 )
 
 

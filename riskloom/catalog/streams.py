@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import query
+from riskloom.catalog.drift import drift_ctes
 from riskloom.catalog.models import SMALL_MODEL, light_features
 from riskloom.catalog.monitoring import _windows_sql, windows_out
 from riskloom.catalog.sql import TXN, keyed, sql
@@ -136,10 +137,19 @@ def _stream_rate(spark, d, length, slide):
     return windows_out(latest_per_key(spark.read.parquet(out), "window_start", "batch_id"))
 
 
-@query("stream_drift")
+@query("stream_drift", sql(
+    TXN, "both_sides AS (SELECT TransactionAmt AS amount, card6, false AS cur FROM txn UNION ALL SELECT TransactionAmt * 1.3::DOUBLE, card6, true FROM txn)",
+    *drift_ctes(["amount"], ["card6"]), """lam AS (SELECT *, d * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS l FROM ks)""",
+    # Kolmogorov tail by the form that converges fast; the categories of both sides are the same, so their test gives 0 and 1
+    """p AS (SELECT feature_name, CASE WHEN l < 0.04 THEN 1.0 WHEN l < 1.18 THEN 1 - sqrt(2 * pi()) / l * (exp(-pi() ** 2 / (8 * l * l))
+  + exp(-9 * pi() ** 2 / (8 * l * l)) + exp(-25 * pi() ** 2 / (8 * l * l))) ELSE 2 * (exp(-2 * l * l) - exp(-8 * l * l) + exp(-18 * l * l)) END AS p FROM lam
+  UNION ALL SELECT feature_name, CASE WHEN stat = 0 THEN 1.0 END FROM chi)""",
+    body="""SELECT feature_name, test, round(drift_score, 6) AS drift_score, round(p, 6) AS p_value, drift_detected, 0::BIGINT AS batch_id
+  FROM verdicts JOIN p USING (feature_name)"""))
 def stream_drift(spark, d):
     reference = views.txn(spark, d).withColumnRenamed("TransactionAmt", "amount").select("amount", "card6")
     stream = views.txn_of(_event_stream(spark, d)).select((F.col("TransactionAmt") * 1.3).alias("amount"), "card6")
     out = shared_path(spark, "stream-drift")
     jobs.stream_drift(stream, reference, out, shared_path(spark, "checkpoint"))
-    return spark.read.parquet(out)
+    rows = spark.read.parquet(out)
+    return rows.withColumns({c: F.round(c, 6) for c in ("drift_score", "p_value")}).withColumn("batch_id", F.col("batch_id").cast("bigint"))
