@@ -89,9 +89,13 @@ class Grams:
         self.doc = np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
-def _bounds(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket's keys begin among sorted keys: a bucket is the leading bits."""
-    return np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(keys)]
+def _filled(words: np.ndarray, pairs: np.ndarray, bits: int) -> Iterator[tuple[int, slice, slice]]:
+    """The buckets that hold any of these sorted keys, with their words and pairs: a bucket is the leading bits."""
+    heads = [keys >> np.uint64(64 - bits) for keys in (words, pairs)]
+    buckets = np.union1d(*heads)
+    edges = [np.searchsorted(head, buckets, side).tolist() for head in heads for side in ("left", "right")]
+    for bucket, w, w_end, p, p_end in zip(buckets.tolist(), *edges):
+        yield bucket, slice(w, w_end), slice(p, p_end)
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -173,15 +177,12 @@ def _requests(blocks: DataFrame, bits: int) -> DataFrame:
                 g = Grams(r["words"], r["places"], r["counts"])
                 learn = (np.array(r["folds"]) != TEST)[g.doc]
                 words, pairs = (np.bincount(at[learn], minlength=len(keys)) for at, keys in ((g.token, g.words), (g.pair, g.pairs)))
-                w, p = _bounds(g.words, bits), _bounds(g.pairs, bits)
-                for b in range(1 << bits):
-                    ws, ps = slice(w[b], w[b + 1]), slice(p[b], p[b + 1])
-                    if ws.stop > ws.start or ps.stop > ps.start:
-                        yield pa.RecordBatch.from_pydict({
-                            "bucket": pa.array([b], pa.int32()), "block": pa.array([r["block"]], pa.int64()),
-                            "words": pa.array([_sent(g.words[ws], bits, WORD_BITS)], pa.binary()),
-                            "pairs": pa.array([_sent(g.pairs[ps], bits, PAIR_BITS)], pa.binary()),
-                            "word_counts": pa.array([packed(words[ws])], pa.binary()), "pair_counts": pa.array([packed(pairs[ps])], pa.binary())})
+                for b, ws, ps in _filled(g.words, g.pairs, bits):
+                    yield pa.RecordBatch.from_pydict({
+                        "bucket": pa.array([b], pa.int32()), "block": pa.array([r["block"]], pa.int64()),
+                        "words": pa.array([_sent(g.words[ws], bits, WORD_BITS)], pa.binary()),
+                        "pairs": pa.array([_sent(g.pairs[ps], bits, PAIR_BITS)], pa.binary()),
+                        "word_counts": pa.array([packed(words[ws])], pa.binary()), "pair_counts": pa.array([packed(pairs[ps])], pa.binary())})
 
     return blocks.select("block", "folds", "counts", "words", "places").mapInArrow(
         ask, "bucket int, block long, words binary, pairs binary, word_counts binary, pair_counts binary")
