@@ -153,8 +153,8 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Da
 
 
 @contextmanager
-def _few_rows(spark: SparkSession, rows: int = 8):
-    """Blocks are rows of megabytes: a batch of a few keeps what lies between the executor and Python small."""
+def _few_rows(spark: SparkSession, rows: int = 2):
+    """Blocks are rows of megabytes: a batch of two keeps what lies between the executor and Python small."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, rows)
