@@ -88,6 +88,26 @@ def rolling_unique_users(spark, d):
     return out.select("TransactionID", "merchant_unique_users")
 
 
+# A third of the cards does everything within one hour.
+BURSTS = """bursts AS (SELECT * REPLACE (CASE WHEN card1 % 3 = 0 THEN TransactionDT % 3600 ELSE TransactionDT END AS TransactionDT) FROM txn)"""
+
+
+@query("rolling_bursts", sql(TXN, BURSTS, keyed("bursts"), body=f"""SELECT a.TransactionID, count(*) AS merchant_tx_count,
+  count(DISTINCT b.user_key) AS merchant_unique_users FROM keyed a JOIN keyed b ON a.merchant_key = b.merchant_key
+  AND b.TransactionDT BETWEEN a.TransactionDT - {HOUR} AND a.TransactionDT
+  AND (b.TransactionDT < a.TransactionDT OR b.TransactionID <= a.TransactionID) GROUP BY a.TransactionID"""))
+def rolling_bursts(spark, d):
+    """Both merchant windows where most keys are hot and busy in one hour: chunks of a 500th of all rows."""
+    rows, dt = views.txn(spark, d), F.col("TransactionDT")
+    rows = rows.withColumn("TransactionDT", F.when(F.col("card1") % 3 == 0, dt % 3600).otherwise(dt))
+    rows = add_keys(rows).select("TransactionID", "TransactionDT", "user_key", "merchant_key")
+    out = rolling.rolling_unique(
+        rows, "merchant_key", "user_key", "TransactionDT", ["TransactionID"], HOUR, "merchant_unique_users",
+        chunk_rows=max(1, rows.count() // 500), extra=[rolling.Measure("merchant_tx_count", HOUR, F.lit(1))],
+    )
+    return out.select("TransactionID", "merchant_tx_count", "merchant_unique_users")
+
+
 @query("engineer_features", sql(TXN, engineered(), body=f"SELECT {FEATURE_COLUMNS} FROM feat"))
 def engineered_features(spark, d):
     return engineer_features(views.txn(spark, d))

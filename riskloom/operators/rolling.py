@@ -5,9 +5,9 @@ window at its time ``t`` and leaves it after ``t + window``; a running sum of en
 the entry, is the rolling value. That is one shuffle and one sort whatever the window length.
 
 A key that holds a large share of all rows must not land in one task. Keys above ``chunk_rows`` are found
-by a counting pass and cut into time chunks as wide as their density allows; each chunk is swept on its
-own and starts from the total of the chunks before it (pre-aggregated, one short row per chunk). All other
-keys stay whole and pay nothing.
+by a counting pass and cut into time chunks as wide as their density allows, busy chunks again into narrower
+ones; each chunk is swept on its own and starts from the total of the chunks before it (pre-aggregated, one
+short row per chunk). All other keys stay whole and pay nothing.
 
 Tie rules for rows of one key at the same time:
   sequential  a row sees itself and the ties ordered before it
@@ -85,13 +85,36 @@ def hot_text_keys(df: DataFrame, keys: Sequence[str], time: str, chunk_rows: int
     return found
 
 
-def _chunked(df: DataFrame, hot: HotKeys, keys: Sequence[str], at: Column) -> DataFrame:
-    """Add the chunk number: zero for ordinary keys, time // width for hot ones."""
-    match = [F.col(f"_f.{k}").eqNullSafe(F.col(f"_h.{k}")) for k in keys]
-    joined = df.alias("_f").join(F.broadcast(hot.table.alias("_h")), match, "left")
-    return joined.select(
-        "_f.*", _WIDTH, F.coalesce(F.floor(at / F.col(_WIDTH)), F.lit(0)).cast("bigint").alias(_CHUNK)
-    )
+def _chunked(df: DataFrame, hot: HotKeys, keys: Sequence[str], at: Column, limit: int) -> DataFrame:
+    """Add the chunk: zero for ordinary keys, the time it begins at for hot ones.
+
+    Chunks as wide as a key's mean density allows are cut again where they hold more than ``limit`` rows, until
+    none does; only rows of one second are never parted. A pass cuts the MAX_HOT_KEYS fullest chunks, so what is
+    broadcast stays bounded, and the next pass finds the others.
+    """
+    width, chunk = F.col(_WIDTH), F.col(_CHUNK)
+    begin = (F.floor(at / width) * width).cast("bigint")
+    joined = df.alias("_f").join(F.broadcast(hot.table.alias("_h")), _same("_f", "_h", keys), "left")
+    cut = joined.select("_f.*", _WIDTH).withColumn(_CHUNK, F.coalesce(begin, F.lit(0).cast("bigint")))
+    while True:
+        counts = cut.where(width.isNotNull()).groupBy(*keys, _CHUNK).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
+        )
+        full = counts.where((F.col("_n") > limit) & (F.col("_lo") < F.col("_hi"))).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
+        part = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_n") * F.lit(limit / 2))
+        full = full.select(*keys, _CHUNK, F.greatest(F.lit(1), part).cast("bigint").alias("_part"))
+        found = full.collect()
+        if not found:
+            return cut
+        table = F.broadcast(df.sparkSession.createDataFrame(found, full.schema).alias("_h"))
+        part = F.col("_part")
+        cut = cut.alias("_f").join(table, _same("_f", "_h", [*keys, _CHUNK]), "left").select("_f.*", "_part").withColumns({
+            _CHUNK: F.coalesce((chunk + F.floor((at - chunk) / part) * part).cast("bigint"), chunk), _WIDTH: F.coalesce(part, width),
+        }).drop("_part")
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
 
 
 def sweep(
@@ -141,9 +164,9 @@ def sweep(
     group = list(keys)
     if hot:
         group = [*keys, _CHUNK]
-        flow = _chunked(flow, hot, keys, F.floor(F.col(_POS) / 2))
         if costly:
             flow = settle(flow, "sweep")
+        flow = _chunked(flow, hot, keys, F.floor(F.col(_POS) / 2), 2 * chunk_rows * len(rows))
         before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         totals = flow.where(F.col(_WIDTH).isNotNull()).groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
         # What the chunks before left behind opens each chunk, as one more event ahead of all others.
@@ -189,9 +212,8 @@ def neighbour_times(
     group, rows = list(keys), df
     if hot:
         group = [*keys, _CHUNK]
-        rows = _chunked(df.withColumn(_ROW, F.lit(True)), hot, keys, F.col(time).cast("bigint"))
-        if costly:
-            rows = settle(rows, "neighbours")
+        rows = settle(df, "neighbours") if costly else df
+        rows = _chunked(rows.withColumn(_ROW, F.lit(True)), hot, keys, F.col(time).cast("bigint"), 2 * chunk_rows)
         chunks = Window.partitionBy(*keys).orderBy(_CHUNK)
         edges = rows.where(F.col(_WIDTH).isNotNull()).groupBy(*group).agg(
             F.min(time).alias("_first"), F.max(time).alias("_last")

@@ -86,6 +86,24 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert [r["k"] for r in both["k"].table.collect()] == ["hot"] and [r["other"] for r in both["other"].table.collect()] == ["x"]
 
 
+def test_busy_chunks_are_cut_again(spark):
+    """Nine tenths of a key lie in its first hour of a year; no chunk holds more than twice the wanted rows."""
+    rows = [(i, "hot", i * 7 % 3600 if i % 10 else i * 31_000 % 31_536_000) for i in range(4000)] + [(9000 + i, "cold", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, k string, t long")
+    cut = rolling._chunked(df, rolling.hot_keys(df, ["k"], "t", 200), ["k"], F.col("t"), 400).groupBy("k", "_chunk").agg(
+        F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("k", "lo").collect()
+    assert [(r["k"], r["n"]) for r in cut if r["k"] == "cold"] == [("cold", 50)]
+    hot = [r for r in cut if r["k"] == "hot"]
+    assert max(r["n"] for r in hot) <= 400 and sum(r["n"] for r in hot) == 4000
+    assert all(a["hi"] < b["_chunk"] <= b["lo"] for a, b in zip(hot, hot[1:]))
+
+
+def test_one_second_is_not_parted(spark):
+    df = spark.range(100).select(F.lit("hot").alias("k"), (F.col("id") / 90).cast("long").alias("t"))
+    cut = rolling._chunked(df, rolling.hot_keys(df, ["k"], "t", 5), ["k"], F.col("t"), 10)
+    assert sorted(r["count"] for r in cut.groupBy("_chunk").count().collect()) == [10, 90]
+
+
 def test_hot_features_equal_whole_ones(spark):
     rows = [(i, i * 977 % 5000, float(i), 1000, 1.0, "W", "visa" if i % 5 else "amex", "debit") for i in range(200)]
     plain = engineer_features(small(spark, rows), CFG.with_(user_window=700, merchant_window=900, velocity_window=90))
