@@ -1,6 +1,9 @@
 """Model jobs: training, tuning, scoring, attributions, evaluation, retraining.
 
-The ensembles here are smaller than the default configuration; the rows are the whole tables.
+The ensembles here are smaller than the default configuration; the rows are the whole tables. SQL cannot grow trees, so
+these queries return what must hold whatever the trees are, next to the ids, splits, counts and parameters that SQL can
+state: rows and positives of each split, scores that follow from the confusion counts, bands that follow from the score,
+attributions that add up to the margin and explain the score.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from riskloom.catalog import query
-from riskloom.catalog.sql import TXN, keyed, sql
+from riskloom.catalog.sql import SPLIT, TXN, keyed, sql
 from riskloom.config import DEFAULT
 from riskloom.functions.scalars import confidence, decision
 from riskloom.operators import metrics, model
@@ -22,6 +25,7 @@ from riskloom.sources import views
 
 SMALL_MODEL = DEFAULT.with_(n_trees=5, max_depth=3, learning_rate=0.3, use_smote=False, column_sample=1.0)
 SMALL_TRIALS = tuple({**t, "n_trees": max(2, t["n_trees"] // 60), "max_depth": t["max_depth"] // 2} for t in model.TRIALS)
+SMALL_DRAWS = tuple({**x, "n_trees": x["n_trees"] // 50 + 1, "max_depth": x["max_depth"] // 2 + 1} for x in model.search_draws())
 
 
 def light_features(spark, d):
@@ -38,47 +42,86 @@ def _part(processed, split):
     return processed.where(F.col("split") == split)
 
 
-@query("train_model")
+def _near(a, b):
+    return F.abs(a - b) < 1e-9
+
+
+def follows_counts(tp, fp, fn):
+    """Whether precision, recall and F1 are those of the confusion counts."""
+    ratio = lambda top, bottom: F.when(bottom > 0, top / bottom).otherwise(0.0)
+    return (_near(F.col("precision_score"), ratio(tp, tp + fp)) & _near(F.col("recall_score"), ratio(tp, tp + fn))
+            & _near(F.col("f1_score"), ratio(2 * tp, 2 * tp + fp + fn)))
+
+
+def follows_score():
+    """Whether band and confidence are those of the score, by its cut points in rising order."""
+    band = F.element_at(F.array(*[F.lit(x) for x in ("CLEAN", "CLEAN", "SUSPICIOUS", "FRAUD", "FRAUD")]), _place())
+    sure = F.element_at(F.array(*[F.lit(x) for x in ("HIGH", "MEDIUM", "MEDIUM", "MEDIUM", "HIGH")]), _place())
+    return (F.col("prediction") == band) & (F.col("confidence") == sure)
+
+
+def _place():
+    return sum((F.col("score") >= cut).cast("int") for cut in (0.15, 0.3, 0.5, 0.7)) + F.lit(1)
+
+
+@query("train_model", sql(TXN, SPLIT, body="""SELECT split, count(*) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS n_positive,
+  true AS scores_follow, true AS beats_all_positive FROM split WHERE split <> 'train' GROUP BY split"""))
 def train_model(spark, d):
-    """Validation scores of a model trained on oversampled rows."""
+    """A model trained on oversampled rows: confusion totals of the held-out splits; F1 above that of calling all positive."""
     processed, params, fitted = _fitted(spark, d, SMALL_MODEL.with_(use_smote=True, oversample_method="random"))
-    rows = model.score(fitted, _part(processed, "val"), params.features, ["isFraud"])
-    return metrics.prf_scores(rows, "isFraud", "score", 0.5)
+    rows = model.score(fitted, processed.where(F.col("split") != "train"), params.features, ["isFraud", "split"])
+    counts = rows.groupBy("split").agg(*metrics.confusion_aggregates("isFraud", "score", 0.5))
+    tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives", "false_negatives", "true_positives"))
+    share = (fn + tp) / (tn + fp + fn + tp)
+    return metrics.with_scores(counts).select(
+        "split", (tn + fp + fn + tp).alias("n_rows"), (fn + tp).alias("n_positive"), follows_counts(tp, fp, fn).alias("scores_follow"),
+        (F.col("f1_score") > 2 * share / (1 + share)).alias("beats_all_positive"),
+    )
+
 
+def _values(rows: list[dict], number: str) -> str:
+    """Parameter sets as SQL rows."""
+    kinds = {"max_depth": "BIGINT", "learning_rate": "DOUBLE", "n_trees": "BIGINT", "subsample": "DOUBLE"}
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS {number}, " + ", ".join(f"CAST({r[k]} AS {t}) AS {k}" for k, t in kinds.items()) + ", true AS scores_in_range"
+        for i, r in enumerate(rows))
 
-@query("tune_trials")
+
+@query("tune_trials", _values(SMALL_TRIALS, "trial"))
 def tune_trials(spark, d):
     processed, params = prepare(light_features(spark, d), SMALL_MODEL)
     _, trials = model.tune(_part(processed, "train"), _part(processed, "val"), params.features, SMALL_MODEL, SMALL_TRIALS)
-    return spark.createDataFrame(trials)
+    p, r, f1 = (F.col(c) for c in ("precision_score", "recall_score", "f1_score"))
+    middle = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
+    return spark.createDataFrame(trials).select("trial", *SMALL_TRIALS[0], (f1.between(0, 1) & _near(f1, middle)).alias("scores_in_range"))
 
 
-@query("random_search")
+@query("random_search", _values(SMALL_DRAWS, "draw"))
 def random_search(spark, d):
     processed, params = prepare(light_features(spark, d), SMALL_MODEL)
-    draws = [{**x, "n_trees": x["n_trees"] // 50 + 1, "max_depth": x["max_depth"] // 2 + 1} for x in model.search_draws()]
-    _, results = model.random_search(_part(processed, "train"), "TransactionID", params.features, SMALL_MODEL, draws)
-    return spark.createDataFrame(results)
+    _, results = model.random_search(_part(processed, "train"), "TransactionID", params.features, SMALL_MODEL, SMALL_DRAWS)
+    return spark.createDataFrame(results).select("draw", *SMALL_DRAWS[0], F.col("mean_f1").between(0, 1).alias("scores_in_range"))
 
 
-@query("score")
+@query("score", sql(TXN, SPLIT, body="SELECT TransactionID, isFraud, split, true AS score_in_range, true AS bands_follow FROM split"))
 def score(spark, d):
     processed, params, fitted = _fitted(spark, d)
     rows = model.score(fitted, processed, params.features, ["TransactionID", "isFraud", "split"])
-    return rows.withColumns({"prediction": decision(F.col("score")), "confidence": confidence(F.col("score"))})
+    rows = rows.withColumns({"prediction": decision(F.col("score")), "confidence": confidence(F.col("score"))})
+    return rows.select("TransactionID", "isFraud", "split", F.col("score").between(0, 1).alias("score_in_range"), follows_score().alias("bands_follow"))
 
 
-@query("tree_attributions")
+@query("tree_attributions", sql(TXN, body="SELECT TransactionID, true AS adds_up, true AS explains_score FROM txn"))
 def tree_attributions(spark, d):
-    """Attribution totals next to the score they must explain: 1 / (1 + exp(-2 margin)) = score."""
+    """Attributions add up to the margin, and 1 / (1 + exp(-2 margin)) is the score they must explain."""
     processed, params, fitted = _fitted(spark, d)
     path = shared_path(spark, "model")
     model.save_model(fitted, path)
     scored = model.score(fitted, processed, params.features, ["TransactionID", *[f"`{f}`" for f in params.features]])
     out = model.tree_attributions(scored, path, params.features, ["TransactionID", "score"])
-    return out.select(
-        "TransactionID", "score", "base", "margin", (1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))).alias("explained_score")
-    )
+    total = F.aggregate(F.map_values("contributions"), F.col("base"), lambda a, x: a + x)
+    explained = 1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))
+    return out.select("TransactionID", _near(total, F.col("margin")).alias("adds_up"), _near(explained, F.col("score")).alias("explains_score"))
 
 
 @query("linear_attributions", sql(TXN, keyed(), "m AS (SELECT avg(TransactionAmt) AS ma, avg(hour) AS mh FROM keyed)", """c AS (
@@ -94,27 +137,41 @@ def linear_attributions(spark, d):
     )
 
 
-@query("evaluation_report")
+@query("evaluation_report", sql(TXN, SPLIT, body="""SELECT count(*) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS n_positive, true AS scores_follow,
+  true AS threshold_on_grid, true AS better_than_chance, 5 AS n_samples FROM split WHERE split = 'test'"""))
 def evaluation_report(spark, d):
     processed, params, fitted = _fitted(spark, d)
-    report = evaluate(fitted, processed, params, SMALL_MODEL).report
-    return report.select("metrics.*", F.to_json("global_importance").alias("global_importance"))
+    report = evaluate(fitted, processed, params, SMALL_MODEL).report.select("metrics.*", F.size("local_explanations_sample").alias("n_samples"))
+    tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives", "false_negatives", "true_positives"))
+    return report.select(
+        (tn + fp + fn + tp).cast("bigint").alias("n_rows"), (fn + tp).cast("bigint").alias("n_positive"),
+        follows_counts(tp, fp, fn).alias("scores_follow"),
+        F.col("threshold").isin(metrics.threshold_grid(SMALL_MODEL)).alias("threshold_on_grid"),
+        ((F.col("roc_auc_score") > 0.5) & (F.col("roc_auc_score") <= 1)).alias("better_than_chance"), "n_samples",
+    )
 
 
-@query("local_explanations")
+@query("local_explanations", sql(TXN, SPLIT, body="""SELECT TransactionID, isFraud AS actual_label, true AS score_in_range, true AS verdict_known
+  FROM split WHERE split = 'test' ORDER BY TransactionID LIMIT 5"""))
 def local_explanations(spark, d):
     processed, params, fitted = _fitted(spark, d)
     rows = evaluate(fitted, processed, params, SMALL_MODEL).explanations
-    return rows.withColumn("contributions", F.to_json("contributions"))
+    return rows.select(
+        "TransactionID", "actual_label", F.col("score").between(0, 1).alias("score_in_range"),
+        (F.col("prediction").isin("FRAUD", "CLEAN") & (F.size("contributions") == len(params.features))).alias("verdict_known"),
+    )
 
 
-@query("retrain_job")
+@query("retrain_job", "SELECT 'drift_detection' AS trigger_reason, CAST(0 AS DOUBLE) AS old_f1, true AS new_f1_in_range, true AS promoted, true AS noted")
 def retrain_job(spark, d):
-    """Shifted batch, drift check, retraining and the log row of the run."""
+    """Shifted batch, drift check, retraining and the log row of the run: the first run is promoted over nothing."""
     folder = shared_path(spark, "retrain")
     rows = views.txn(spark, d).drop("ingest_seq")
     jobs.generate_batch(rows, f"{folder}/batches", "2024-02-01", 1.0, SMALL_MODEL)
     logged = jobs.drift_then_retrain(
         spark, rows, f"{folder}/batches", folder, "2024-02-01", SMALL_MODEL, now=datetime(2024, 2, 1, 12)
     )
-    return logged.select("trigger_reason", "old_f1", "new_f1", "promoted", "notes")
+    return logged.select(
+        "trigger_reason", "old_f1", ((F.col("new_f1") > 0) & (F.col("new_f1") <= 1)).alias("new_f1_in_range"), "promoted",
+        F.col("notes").startswith("Promoted: ").alias("noted"),
+    )

@@ -250,9 +250,24 @@ def minority_knn(spark, d):
     return found.select("id", "rank", F.round("distance", 6).alias("distance"))
 
 
-@query("smote_oversample")
+SMOTE_SQL = sql(
+    TXN, f"""m AS (SELECT TransactionID AS id, TransactionAmt / 100.0 AS a, TransactionDT / 864000.0 AS b,
+  row_number() OVER (ORDER BY {h32('smote-base', 'TransactionID')}, TransactionID) - 1 AS i FROM txn WHERE isFraud = 1)""",
+    """k AS (SELECT x.id, y.id AS other, row_number() OVER (PARTITION BY x.id ORDER BY sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)), y.id) AS rank
+  FROM m x JOIN m y ON x.id <> y.id)""",
+    """c AS (SELECT count(*) FILTER (WHERE isFraud = 0) AS neg, count(*) FILTER (WHERE isFraud = 1) AS pos FROM txn)""",
+    f"""draws AS (SELECT j, {h60('smote', 'j')} % (pos * 5) AS pick, {u('gap', 'j')} AS g
+  FROM c, (SELECT unnest(range(CAST((SELECT floor(0.3::DOUBLE * neg) - pos FROM c) AS BIGINT))) AS j))""",
+    body="""SELECT TransactionID, isFraud, round(TransactionAmt / 100.0, 9) AS amount, round(TransactionDT / 864000.0, 9) AS time,
+  CAST(-1 AS BIGINT) AS copy_no, CAST(-1 AS BIGINT) AS base_id, CAST(-1 AS BIGINT) AS neighbour_id FROM txn
+UNION ALL SELECT -1, 1, round(x.a + g * (y.a - x.a), 9), round(x.b + g * (y.b - x.b), 9), j, x.id, y.id
+  FROM draws JOIN m x ON x.i = pick // 5 JOIN k ON k.id = x.id AND k.rank = pick % 5 + 1 JOIN m y ON y.id = k.other""")
+
+
+@query("smote_oversample", SMOTE_SQL)
 def smote_oversample(spark, d):
     rows = views.txn(spark, d).select(
         "TransactionID", "isFraud", (F.col("TransactionAmt") / 100.0).alias("amount"), (F.col("TransactionDT") / 864000.0).alias("time")
     )
-    return neighbours.smote(rows, "TransactionID", ["amount", "time"])
+    grown = neighbours.smote(rows, "TransactionID", ["amount", "time"]).withColumns({c: F.round(c, 9) for c in ("amount", "time")})
+    return grown.fillna(-1, ["TransactionID", "copy_no", "base_id", "neighbour_id"])

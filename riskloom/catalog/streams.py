@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import query
 from riskloom.catalog.drift import drift_ctes
-from riskloom.catalog.models import SMALL_MODEL, light_features
+from riskloom.catalog.models import SMALL_MODEL, follows_score, light_features
 from riskloom.catalog.monitoring import _windows_sql, windows_out
 from riskloom.catalog.sql import TXN, keyed, sql
 from riskloom.operators import model, monitor
@@ -103,7 +103,7 @@ def stream_merchant_state(spark, d):
     return _features(spark, d).select("TransactionID", "merchant_tx_count_30d", "merchant_unique_users_30d")
 
 
-@query("stream_score")
+@query("stream_score", sql(TXN, body="SELECT TransactionID, true AS score_in_range, true AS bands_follow FROM txn"))
 def stream_score(spark, d):
     rows = views.txn(spark, d).drop("ingest_seq")
     processed, params = prepare(light_features(spark, d), SMALL_MODEL)
@@ -114,7 +114,8 @@ def stream_score(spark, d):
         stream, history, out, shared_path(spark, "checkpoint"),
         lambda features: model.score_features(fitted, features, params, ["TransactionID"]), SMALL_MODEL,
     )
-    return spark.read.schema("TransactionID BIGINT, score DOUBLE, prediction STRING, confidence STRING").parquet(out)
+    rows = spark.read.schema("TransactionID BIGINT, score DOUBLE, prediction STRING, confidence STRING").parquet(out)
+    return rows.select("TransactionID", F.col("score").between(0, 1).alias("score_in_range"), follows_score().alias("bands_follow"))
 
 
 @query("stream_tumbling_rate", _windows_sql(1))
