@@ -111,6 +111,26 @@ def score(spark, d):
     return rows.select("TransactionID", "isFraud", "split", F.col("score").between(0, 1).alias("score_in_range"), follows_score().alias("bands_follow"))
 
 
+@query("score_requests", sql(TXN, body="""SELECT CAST(TransactionID AS VARCHAR) AS transaction_id, 'run-1' AS model_version,
+  coalesce(card6, 'debit') || ' (' || coalesce(card4, 'visa') || ')' AS card_label, true AS score_in_range, true AS bands_follow,
+  true AS explanation_kept FROM txn WHERE ProductCD IN ('R', 'C')"""))
+def score_requests(spark, d):
+    """Clicks and purchases as requests over the history of all other events: payload to prediction log."""
+    _, params, fitted = _fitted(spark, d)
+    folder, rows = shared_path(spark, "serving"), views.txn(spark, d).drop("ingest_seq")
+    model.save_model(fitted, f"{folder}/models/run-1")
+    params.save(spark, f"{folder}/models/run-1-preprocess")
+    asked = F.col("ProductCD").isin("R", "C")
+    fields = {"TransactionID": "transaction_id", "TransactionDT": "transaction_dt", "TransactionAmt": "transaction_amt", "ProductCD": "product_cd"}
+    payload = F.to_json(F.struct(*[
+        (F.col(c).cast("string") if c == "TransactionID" else F.col(c)).alias(fields.get(c, c)) for c in rows.columns if c != "isFraud"]))
+    log, _ = jobs.predict_requests(spark, rows.where(asked).select(payload.alias("payload")), rows.where(~asked), folder, "run-1", SMALL_MODEL)
+    return log.select(
+        "transaction_id", "model_version", "card_label", F.col("score").between(0, 1).alias("score_in_range"),
+        follows_score().alias("bands_follow"), F.forall(F.map_values("explanation"), lambda v: F.abs(v) > 1e-4).alias("explanation_kept"),
+    )
+
+
 @query("tree_attributions", sql(TXN, body="SELECT TransactionID, true AS adds_up, true AS explains_score FROM txn"))
 def tree_attributions(spark, d):
     """Attributions add up to the margin, and 1 / (1 + exp(-2 margin)) is the score they must explain."""

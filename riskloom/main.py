@@ -3,6 +3,7 @@
     spark-submit riskloom/main.py preprocess --raw RAW --work WORK [--config FILE]
     spark-submit riskloom/main.py train      --work WORK
     spark-submit riskloom/main.py evaluate   --work WORK --run RUN_ID
+    spark-submit riskloom/main.py score      --raw RAW --work WORK --run RUN_ID --requests FILE --date 2024-01-31
     spark-submit riskloom/main.py batch      --raw RAW --work WORK --date 2024-01-31 [--intensity 0.5]
     spark-submit riskloom/main.py drift      --raw RAW --work WORK --date 2024-01-31
     spark-submit riskloom/main.py retrain    --raw RAW --work WORK [--force]
@@ -24,8 +25,8 @@ from riskloom.session import build_session, release  # noqa: E402
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     parser = argparse.ArgumentParser(prog="riskloom")
-    parser.add_argument("command", choices=("preprocess", "train", "evaluate", "batch", "drift", "retrain"))
-    for option in ("--raw", "--config", "--run", "--date"):
+    parser.add_argument("command", choices=("preprocess", "train", "evaluate", "score", "batch", "drift", "retrain"))
+    for option in ("--raw", "--config", "--run", "--date", "--requests"):
         parser.add_argument(option)
     parser.add_argument("--work", required=True)
     parser.add_argument("--intensity", type=float)
@@ -54,6 +55,9 @@ def run(spark, args: argparse.Namespace, cfg: Config) -> int:
         print(jobs.train_job(spark, args.work, cfg))
     elif args.command == "evaluate":
         print(jobs.evaluate_job(spark, args.work, args.run, cfg).first()["metrics"].asDict())
+    elif args.command == "score":
+        counts = jobs.score_job(spark, args.requests, cleaned(), args.work, args.run, args.date, cfg)
+        print({r["part"]: r["n_rows"] for r in counts.collect()})  # two rows
     elif args.command == "batch":
         jobs.generate_batch(cleaned(), batches, args.date, args.intensity, cfg)
     elif args.command == "drift":

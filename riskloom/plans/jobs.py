@@ -7,16 +7,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import DEFAULT, Config
-from riskloom.functions.scalars import confidence, decision
+from riskloom.functions.scalars import confidence, decision, explanation_kept, scoring_card_label
 from riskloom.operators import model, registry
+from riskloom.operators.cleaning import dedupe_first
 from riskloom.operators.drift import drift_summary
-from riskloom.operators.encode import PreprocessParams
+from riskloom.operators.encode import PreprocessParams, apply_preprocess
 from riskloom.plans.drift import TESTED, baseline_exclude, detect_drift, make_shifted_batch, source_columns
 from riskloom.plans.features import engineer_features
 from riskloom.plans.ingest import ingest_split
 from riskloom.plans.train import evaluate, fit, prepare
 from riskloom.session import settle
 from riskloom.sources import readers, sinks
+from riskloom.streaming.events import split_payload, to_transactions, with_serving_defaults
 
 RETRAIN_LOG = ("triggered_at timestamp_ntz, trigger_reason string, old_f1 double, new_f1 double, promoted boolean, "
                "notes string, timestamp timestamp_ntz")
@@ -85,6 +87,50 @@ def score_batch(spark: SparkSession, engineered: DataFrame, work_dir: str, run_i
     )
 
 
+def predict_requests(spark: SparkSession, payloads: DataFrame, history: DataFrame, work_dir: str, run_id: str,
+                     cfg: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """Request payloads to rows of the prediction log, and the rejected payloads.
+
+    Features look at strictly earlier transactions of ``history`` and of the requests themselves. A request that comes
+    twice is scored once, as of its earliest time. The log holds score, band, confidence, the contributions that matter, the card's label and the model.
+    """
+    accepted, rejected = split_payload(payloads)
+    key, time = cfg.join_key, cfg.time_column
+    requests = dedupe_first(to_transactions(accepted), key, time)
+    kinds = {f.name: f.dataType for f in requests.schema if f.name in history.columns}
+    past = history.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()])
+    marked = past.withColumn("is_inference_batch", F.lit(False)).unionByName(
+        requests.withColumn("is_inference_batch", F.lit(True)), allowMissingColumns=True)
+    features = engineer_features(marked, cfg, ties="strict").where("is_inference_batch")
+    # The label is of the card as sent, before missing names are filled.
+    features = with_serving_defaults(features.withColumn("card_label", scoring_card_label(F.col("card6"), F.col("card4"))))
+
+    path = f"{work_dir}/models/{run_id}"
+    params = PreprocessParams.load(spark, f"{path}-preprocess")
+    kept = [key, "card_label"]
+    ready = apply_preprocess(features, params, kept)
+    scored = model.score(model.load_model(path), ready, params.features, [*kept, *[f"`{f}`" for f in params.features]])
+    explained = model.tree_attributions(scored, path, params.features, [*kept, "score"])
+    p = F.col("score")
+    log = explained.select(
+        F.col(key).alias("transaction_id"), "score", decision(p, cfg.fraud_threshold, cfg.suspicious_threshold).alias("prediction"),
+        confidence(p, cfg.fraud_threshold, cfg.suspicious_threshold).alias("confidence"),
+        explanation_kept(F.col("contributions")).alias("explanation"), "card_label", F.lit(run_id).alias("model_version"),
+    )
+    return log, rejected
+
+
+def score_job(spark: SparkSession, requests: str, history: DataFrame, work_dir: str, run_id: str, run_date: str,
+              cfg: Config = DEFAULT) -> DataFrame:
+    """Score a file of JSON requests, one a line; writes the date's part of ``predictions`` and ``rejected``. Rows of each."""
+    log, rejected = predict_requests(spark, spark.read.text(requests).withColumnRenamed("value", "payload"), history, work_dir, run_id, cfg)
+    sinks.write_batch(log, f"{work_dir}/predictions", run_date)
+    sinks.write_batch(rejected, f"{work_dir}/rejected", run_date)
+    counts = [spark.read.parquet(f"{work_dir}/{name}").where(F.col("batch_date") == F.lit(run_date).cast("date"))
+              .select(F.lit(name).alias("part")) for name in ("predictions", "rejected")]
+    return counts[0].unionByName(counts[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def generate_batch(cleaned: DataFrame, batch_dir: str, batch_date: str, intensity: float | None = None, cfg: Config = DEFAULT) -> None:
     """Write the shifted batch of the newest rows under its date."""
     sinks.write_batch(make_shifted_batch(cleaned, intensity, cfg), batch_dir, batch_date)
@@ -101,7 +147,11 @@ def check_drift(cleaned: DataFrame, batch_dir: str, log_path: str, run_date: str
         "drift_intensity", F.localtimestamp().alias("timestamp"),
     )
     sinks.append_log(rows, log_path, "feature_name")
-    return bool(drift_summary(tests).first()["drift_detected"]), tests
+    report = drift_summary(tests).withColumn("run_date", F.lit(run_date))
+    results = tests.agg(F.sort_array(F.collect_list(F.struct(*tests.columns)))).scalar()  # one entry per tested feature
+    report = report.withColumn("tests", results)
+    sinks.write_report(report, f"{log_path}-reports/{run_date}")
+    return bool(report.first()["drift_detected"]), tests
 
 
 def log_run(spark: SparkSession, path: str, started: datetime, reason: str, old: float, new: float, promoted: bool, notes: str,

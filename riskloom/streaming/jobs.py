@@ -82,10 +82,10 @@ def feature_batch(cfg: Config, history: str, sink: BatchFn) -> BatchFn:
             if span["lo"] is None:
                 return
             first = (span["lo"] - reach) // DAY
-            past = spark.read.parquet(history).where(
-                (F.col("batch_id") < batch_id) & F.col("day").between(first, span["hi"] // DAY)
-            )
-            fresh = fresh.join(past.select(cfg.join_key), cfg.join_key, "left_anti")
+            known = spark.read.parquet(history).where(F.col("batch_id") < batch_id)
+            past = known.where(F.col("day").between(first, span["hi"] // DAY))
+            # Ids of all days, one column: a repeat may come long after, or claim an earlier time.
+            fresh = fresh.join(known.select(cfg.join_key), cfg.join_key, "left_anti")
         fresh.select(*batch.columns, "batch_id", "day").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id", "day").parquet(history)

@@ -32,3 +32,12 @@ def test_the_whole_command_line(spark, tmp_path, capsys):
     joined, _ = ingest_split(spark, str(raw), "train")
     scored = jobs.score_batch(spark, engineer_features(joined, load_config(config)), work, run)
     assert scored.count() == 200 and set(scored.columns) == {"TransactionID", "score", "prediction", "confidence"}
+    log = json.loads(next((tmp_path / "work" / "drift_log-reports" / "2024-01-31").glob("part-*")).read_text())
+    assert log["run_date"] == "2024-01-31" and len(log["tests"]) == log["features_tested"]
+    sent = [{"transaction_id": f"r{i}", "transaction_amt": 20.0 + i, "product_cd": "W", "transaction_dt": 300000 + i, "card1": 15000.0, "card2": 321.0,
+             "card6": "debit"} for i in range(3)]
+    (tmp_path / "requests.json").write_text("\n".join(json.dumps(x) for x in [*sent, sent[0], {"transaction_id": "bad"}]) + "\n")
+    assert "'predictions': 3" in say("score", "--run", run, "--requests", str(tmp_path / "requests.json"), "--date", "2024-01-31")
+    logged = spark.read.parquet(f"{work}/predictions").orderBy("transaction_id").collect()
+    assert [r["transaction_id"] for r in logged] == ["r0", "r1", "r2"] and {r["card_label"] for r in logged} == {"debit (visa)"}
+    assert all(0 <= r["score"] <= 1 and r["model_version"] == run for r in logged)

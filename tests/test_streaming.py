@@ -53,6 +53,15 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
     assert [(r["TransactionID"], r["user_tx_count_30d"]) for r in rows] == [(1, 1), (2, 2)]
 
 
+def test_an_id_is_taken_once_whatever_its_time(spark, tmp_path):
+    """Sent again 40 days later and with an early time: both lie outside the windows of the first row."""
+    history, out, source, checkpoint = (str(tmp_path / n) for n in ("h", "o", "s", "c"))
+    for t in (100 * 86400, 140 * 86400, 0):
+        frame(spark, [(1, t, 1.0, 1, "W")]).write.mode("append").parquet(source)
+        jobs.stream_features(read_event_stream(spark, source, SCHEMA), history, out, checkpoint, CFG)
+    assert [(r["TransactionID"], r["TransactionDT"]) for r in spark.read.parquet(out).collect()] == [(1, 100 * 86400)]
+
+
 def test_dedupe_and_late_rows_in_progress(spark, tmp_path):
     start = datetime(2024, 1, 1)
     schema = "id long, ts timestamp"
