@@ -217,15 +217,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return near_groups(prints, limit).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_marks(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of a whole row; rows that are equal in all columns have the same."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    nulls = [c.isNull() for c in plain]  # a null does not change the hash of a row
+    return F.xxhash64(*plain, *nulls), F.xxhash64(F.lit(SEED), *nulls, *plain)
+
+
+def one_row_each(docs: DataFrame, table: DataFrame, stars: DataFrame) -> DataFrame:
+    """Exactly one row of ``docs`` for each component: the smallest by id (nulls last), mark and row hashes.
+
+    ``table`` has (doc_id, mark, k1, k2) of every row of ``docs``, ``stars`` the components (a, b) of marks. Minima are taken per mark
+    first, so copies of a hot mark collapse before anything is joined.
+    """
+    names = docs.columns
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "k1", "k2")).alias("best")
+    first = table.groupBy("mark").agg(best).join(stars.withColumnRenamed("a", "mark"), "mark", "left")
+    stay = settle(first.groupBy(F.coalesce("b", "mark").alias("root")).agg(F.min("best").alias("best")).select("best.k1", "best.k2"), "stay")
+    one, two = fresh(names, "mark_one"), fresh(names, "mark_two")
+    k1, k2 = row_marks(docs)
+    tagged = docs.withColumns({one: k1, two: k2})
+    here = lambda keys: keys.select(F.col("k1").alias(one), F.col("k2").alias(two))
+    counted = table.groupBy("k1", "k2").agg(F.count("*").alias("n"))
+    repeated = settle(counted.filter("n > 1").join(stay, ["k1", "k2"], "left_semi"), "repeated")
+    gone = counted.join(stay, ["k1", "k2"], "left_anti")
+    kept = tagged.join(here(gone), [one, two], "left_anti")
+    if not repeated.isEmpty():
+        twice = kept.join(here(repeated), [one, two], "left_semi").dropDuplicates([one, two])
+        kept = kept.join(here(repeated), [one, two], "left_anti").unionByName(twice)
+    return kept.select(*[F.col(f"`{c}`") for c in names])
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have their component's smallest id, with all their columns; rows without an id stay."""
+    """One row of each component of linked fingerprints, with all its columns: the smallest id's, rows without an id last."""
     ship(docs.sparkSession)
-    prints = settle(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), "prints")
-    names = docs.columns
-    tag, key = fresh(names, "print_of"), fresh(names, "gone_id")
-    other = fresh(names, "gone_print")
-    gone = (near_groups(prints).filter("doc_id != component_id")
-            .select(F.col("doc_id").alias(key), F.col("fp").alias(other)).distinct())
-    tagged = docs.withColumn(tag, fingerprint(F.col(text_col)))
-    on = (F.col(id_col) == F.col(key)) & (F.col(tag) == F.col(other))
-    return tagged.join(gone, on, "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    k1, k2 = row_marks(docs)
+    prints = settle(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("mark"), k1.alias("k1"), k2.alias("k2")), "prints")
+    return one_row_each(docs, prints, components(links(prints.select(F.col("mark").alias("fp")).distinct())))
