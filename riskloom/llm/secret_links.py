@@ -1,9 +1,9 @@
 """Secret scan with linking of multipart credentials.
 
 Base patterns are reported wherever they match. Weak candidates (identifiers, secrets and endpoints that look like ordinary text on
-their own) are reported only together: candidates are joined as intervals within scopes, a scope being a paragraph, and one is
-reported if the parts it needs lie within REACH code points of it. The join is an equi-join on text, scope and a bucket of REACH
-code points with its neighbours, and a semi-join, so no pairs are put out and a text with many candidates is spread over its buckets.
+their own) are reported only together: a scope is a paragraph, and a candidate is reported if the roles it needs occur in its scope,
+however far away. The roles of each scope are aggregated first and joined back, so no pairs are put out. Patterns run to the end of
+what they match; none has an upper length.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import fresh, in_blocks, ship
 from riskloom.session import settle
 
-REACH = 400
-
 # Base kinds in the order they are listed: pattern, the group whose length counts, its least length. Fixed values.
 BASE: tuple[tuple[str, re.Pattern, int, int], ...] = (
     ("assign", re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), 2, 6),
@@ -34,13 +32,13 @@ HEX_LONG = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 
 #: Weak kinds: pattern and role. A secret must hold upper and lower case and a digit.
 WEAK: tuple[tuple[str, re.Pattern, str], ...] = (
-    ("ident", re.compile(r"(?<![A-Za-z0-9_])(?:ASIA[A-Z0-9]{16}|(?:client_id|access_id|account|username|user|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,64})", re.A), "id"),
-    ("part", re.compile(r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])", re.A), "secret"),
-    ("endpoint", re.compile(r"(?:https?|s3|jdbc:[a-z]+|amqps?|redis|mongodb|postgres(?:ql)?|mysql)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{4,200}", re.A), "endpoint"),
+    ("ident", re.compile(r"(?<![A-Za-z0-9_])ASIA[A-Z0-9]{16,}|(?i:client_?id|access_?id|account_?name|account|user_?name|user|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}", re.A), "id"),
+    ("part", re.compile(r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=])", re.A), "secret"),
+    ("endpoint", re.compile(r"(?:https?|s3|jdbc:[a-z]+|amqps?|redis|mongodb|postgres(?:ql)?|mysql)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{4,}", re.A), "endpoint"),
 )
 KINDS = [k for k, *_ in BASE] + [k for k, *_ in WEAK]
 ROLE = {"assign": "secret", "access": "id", "hex": "secret"} | {k: role for k, _, role in WEAK}
-#: The roles that must be near for a weak candidate to be reported.
+#: The roles that must occur in its scope for a weak candidate to be reported.
 NEEDS = {"id": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 BREAK = re.compile(r"\n[^\S\n]*\n")
 
@@ -105,26 +103,16 @@ def scan(text: Column) -> Column:
     return scanned(text)
 
 
-def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
-    """Weak rows of (key, scope, role, weak, kind, start, end) that have all the roles they need within reach in their scope.
-
-    Distance is from start to start. Rows of a bucket are bounded by its width, whatever the text.
-    """
-    spots = parts.withColumn("bucket", F.floor(F.col("start") / reach))
-    weak = spots.filter("weak")
-    near = (spots.select("key", "scope", F.col("role").alias("other"), F.col("start").alias("at"),
-                         F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket")).distinct())
-    out = None
+def linked_parts(parts: DataFrame) -> DataFrame:
+    """Weak rows of (key, scope, role, weak, kind, start, end) whose scope has all the roles they need, at any distance."""
+    roles = parts.groupBy("key", "scope").agg(*[F.max(F.col("role") == r).alias(f"has_{r}") for r in ("id", "secret")])
+    met = F.lit(False)
     for role, needs in NEEDS.items():
-        found = weak.filter(F.col("role") == role)
+        own = F.col("role") == role
         for other in needs:
-            side = near.filter(F.col("other") == other).drop("other")
-            w, n = found.alias("w"), side.alias("n")
-            on = (F.col("w.key") == F.col("n.key")) & (F.col("w.scope") == F.col("n.scope")) & (F.col("w.bucket") == F.col("n.bucket")) \
-                & (F.abs(F.col("w.start") - F.col("n.at")) <= reach)
-            found = w.join(n, on, "left_semi")
-        out = found if out is None else out.unionByName(found)
-    return out.drop("bucket")
+            own = own & F.col(f"has_{other}")
+        met = met | own
+    return parts.filter("weak").join(roles, ["key", "scope"]).filter(met).drop("has_id", "has_secret")
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
