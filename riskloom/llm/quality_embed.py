@@ -37,6 +37,7 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 class Model(NamedTuple):
     weight: np.ndarray  # per bucket, what it adds to the logit of class 1 over class 0
     bias: float
+    learned: bool = True  # False: there was no usable label
 
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +138,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
             bias -= 0.1 * rate * p
             # The mean spreads a step over all of a text's features; as many steps again make up for it.
             vectors[bucket] -= (rate * np.minimum(1.0, 100 * share))[:, None] * back
-    return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]), bool(labels))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
@@ -169,8 +170,8 @@ def score(model: Model, text: Column) -> Column:
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score and verdict of every row of ``docs``, from the text alone.
 
-    A null or empty text has no features and gets the share of class 1 among the learning documents; a null id counts as the
-    empty text for the fold; repeated rows stay; other columns are not read.
+    A null or empty text has no features and gets the score of the bias alone; without any usable label every score is 0.5. A null id
+    counts as the empty text for the fold; repeated rows stay; other columns are not read.
     """
     ship(docs.sparkSession)
     return (docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, 4) == 2).alias("held_out"), score(model, F.col(text_col)).alias("score"))
@@ -178,7 +179,9 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns; all rows if it had no usable label to learn from."""
+    if not model.learned:
+        return docs
     ship(docs.sparkSession)
     tag = fresh(docs.columns, "score")
     return docs.withColumn(tag, score(model, F.col(text_col))).filter(F.col(tag) >= ACCEPT).select(*[F.col(f"`{c}`") for c in docs.columns])
