@@ -225,8 +225,9 @@ class Units:
     other and are encoded once. Texts with other white space beside spaces are encoded as a whole.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int = MAX_UNITS):
         self.encode = encode  # texts, whether they are words after a space -> (all their ids in one array, how many each has)
+        self.most = most
         self._forget()
 
     def _forget(self) -> None:
@@ -255,7 +256,7 @@ class Units:
 
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of each text of a column without nulls: all in one array, and where each text's begin and end."""
-        if len(self.ends) > MAX_UNITS:
+        if len(self.ends) > self.most:
             self._forget()
         split = pc.split_pattern(texts, " ")
         offsets = split.offsets.to_numpy().astype(np.int64)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import (content_sort, harmonic, interpolated_lm, lang_gru, prefix_bpe, quality_embed, rule_ledger, secret_links, simhash_trie,
+from riskloom.llm import (content_sort, harmonic, interpolated_lm, lang_gru, prefix_bpe, quality_embed, rule_ledger, secret_links, simhash_trie, simple8b,
                           token_counts)
 from riskloom.llm.common import read
 
@@ -52,8 +52,12 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.apply_policy(book)
 
 
+def op11_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_lang_gru, op2_secret_links, op3_interpolated_lm, op4_quality_embed, op5_prefix_bpe, op6_content_sort,
-                                   op7_simhash_trie, op8_token_counts, op9_harmonic_packing, op10_rule_ledger)}
+                                   op7_simhash_trie, op8_token_counts, op9_harmonic_packing, op10_rule_ledger, op11_simple8b_ids)}
 
 ORACLES = {
     "op6_content_sort": r"""
