@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ from riskloom.llm.common import in_blocks, ship, slices
 RANKS = "byte_bpe_50k.tiktoken"
 #: Units (words with the space before them) a worker remembers, and pairs of tokens; both are emptied when full.
 MAX_UNITS, MAX_PAIRS = 400_000, 400_000
+_UNKNOWN = -2
 
 
 #: The lowest character that Python's tables have no class for.
@@ -245,14 +247,17 @@ class Units:
 
     def _numbers(self, known: dict[str, int], units: list[str], before: str) -> np.ndarray:
         """Numbers of distinct units, new ones encoded; -1 for a unit that is not independent."""
-        new = sorted(u for u in units if u not in known)
-        for u in new:
-            known[u] = -1
-        new = [u for u in new if _independent(u)]
-        if new:
-            first = self._add([before + u for u in new], before == " ")
-            known.update(zip(new, range(first, first + len(new))))
-        return np.array([known[u] for u in units], np.int64)
+        numbers = np.array(list(map(known.get, units, itertools.repeat(_UNKNOWN))), np.int64)
+        open_ = np.flatnonzero(numbers == _UNKNOWN)
+        if len(open_):
+            new = sorted(units[i] for i in open_.tolist())
+            known.update(dict.fromkeys(new, -1))
+            new = [u for u in new if _independent(u)]
+            if new:
+                first = self._add([before + u for u in new], before == " ")
+                known.update(zip(new, range(first, first + len(new))))
+            numbers[open_] = [known[units[i]] for i in open_.tolist()]
+        return numbers
 
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of each text of a column without nulls: all in one array, and where each text's begin and end."""
@@ -267,7 +272,9 @@ class Units:
         numbers = np.empty(len(parts), np.int64)
         for mask, known, before in ((is_first, self.lead, ""), (~is_first, self.inner, " ")):
             coded = parts.filter(pa.array(mask)).dictionary_encode()
-            numbers[mask] = self._numbers(known, coded.dictionary.to_pylist(), before)[coded.indices.to_numpy()] if len(coded) else 0
+            if len(coded):
+                units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+                numbers[mask] = self._numbers(known, units, before)[coded.indices.to_numpy()]
         if numbers.min(initial=0) < 0:
             whole = np.unique(np.searchsorted(offsets, np.flatnonzero(numbers < 0), "right") - 1)
             first = self._add(texts.take(pa.array(whole)).to_pylist(), False)

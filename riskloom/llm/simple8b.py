@@ -43,7 +43,7 @@ FRAME_IDS, FILE_FRAMES = 1 << 16, 128
 MAGIC, LETTERS = b"S8FRAME1", b"S8B"
 HEADER = 11
 #: Units (words with the space before them) a worker remembers.
-MAX_UNITS = 1_500_000
+MAX_UNITS = 800_000
 
 _LIMITS = np.uint64(1) << WIDTHS[1:-1].astype(np.uint64)  # values below the k-th fit selector k + 1
 _CLASS = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
