@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from check_oracles import canonical
+from check_oracles import canonical, fetched
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,4 +38,4 @@ def test_ten_queries_and_the_pipeline_are_registered():
 def test_check_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    assert canonical(contract.queries()[name](spark, SF).toPandas()) == canonical(con.execute(contract.oracle_sql()[name]).df())
+    assert canonical(fetched(contract.queries()[name](spark, SF))) == canonical(con.execute(contract.oracle_sql()[name]).df())
