@@ -16,6 +16,7 @@ from riskloom.session import shared_path
 from riskloom.sources import readers, views
 from riskloom.streaming import events as payloads
 from riskloom.streaming import jobs
+from riskloom.streaming import keyed as state
 
 
 def _event_stream(spark, d):
@@ -69,13 +70,16 @@ def stream_dedupe(spark, d):
 
 
 def _features(spark, d, slices: int = 3):
-    """Replay the events in time order and return the features the stream wrote."""
+    """The events in time order, one file for each slice and one micro-batch for each file; the features the stream wrote."""
     rows = views.txn(spark, d).drop("ingest_seq")
     span = rows.agg(F.min("TransactionDT").alias("lo"), F.max("TransactionDT").alias("hi")).first()
-    width = (span["hi"] - span["lo"]) // slices + 1
-    parts = [rows.where(F.floor((F.col("TransactionDT") - span["lo"]) / width) == i) for i in range(slices)]
-    history, out = shared_path(spark, "history"), shared_path(spark, "features")
-    jobs.replay(parts, rows.schema, lambda stream, checkpoint: jobs.stream_features(stream, history, out, checkpoint), spark)
+    width, source = (span["hi"] - span["lo"]) // slices + 1, shared_path(spark, "source")
+    for i in range(slices):
+        part = rows.where(F.floor((F.col("TransactionDT") - span["lo"]) / width) == i)
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out, splits = shared_path(spark, "features"), state.busy_keys(rows, share=0.05, parts=4)
+    state.stream_features(stream, jobs.batch_sink(out), shared_path(spark, "checkpoint"), splits=splits)
     return spark.read.parquet(out)
 
 

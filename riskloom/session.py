@@ -60,10 +60,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table this application wrote on its way."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application settled. Call it when no frame built on it is needed any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    discard(spark, _run_dir(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

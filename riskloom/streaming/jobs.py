@@ -1,4 +1,4 @@
-"""Running streams: sinks, replay, and the point-in-time feature job.
+"""Running streams: sinks, and the point-in-time feature job.
 
 The feature job keeps its history as a table, not in operator state: a micro-batch reads the history days
 its windows reach, runs the same strict rolling sweep as the batch engine over history and batch together
@@ -8,16 +8,15 @@ all history that had arrived, and a retried batch overwrites its own partition.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import DAY, DEFAULT, Config
 from riskloom.functions.scalars import confidence, decision
 from riskloom.operators.cleaning import dedupe_first
 from riskloom.operators.drift import drift_tests
 from riskloom.plans.features import engineer_features
-from riskloom.session import shared_path
 from riskloom.sources.readers import path_exists
 from riskloom.sources.sinks import upsert
 
@@ -54,15 +53,6 @@ def upsert_sink(path: str, key: str, *order: str) -> BatchFn:
     return lambda batch, batch_id: upsert(batch, path, key, *order)
 
 
-def replay(slices: Iterable[DataFrame], schema: str, job: Callable[[DataFrame, str], None], spark: SparkSession) -> None:
-    """Feed slices to a stream job one after another: each is written to the source folder, then the job is
-    restarted from its checkpoint and takes what is new."""
-    source, checkpoint = shared_path(spark, "source"), shared_path(spark, "checkpoint")
-    for rows in slices:
-        rows.write.mode("append").parquet(source)
-        job(spark.readStream.schema(schema).parquet(source), checkpoint)
-
-
 # --- point-in-time features ------------------------------------------------------------------------------------
 
 
