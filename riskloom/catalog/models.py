@@ -16,7 +16,8 @@ from riskloom.catalog import query
 from riskloom.catalog.sql import SPLIT, TXN, keyed, sql
 from riskloom.config import DEFAULT
 from riskloom.functions.scalars import confidence, decision
-from riskloom.operators import metrics, model
+from riskloom.operators import boosting, metrics, model
+from riskloom.operators.sampling import stratified_split
 from riskloom.plans.features import add_temporal
 from riskloom.plans import jobs
 from riskloom.plans.train import evaluate, fit, prepare
@@ -195,3 +196,79 @@ def retrain_job(spark, d):
         "trigger_reason", "old_f1", ((F.col("new_f1") > 0) & (F.col("new_f1") <= 1)).alias("new_f1_in_range"), "promoted",
         F.col("notes").startswith("Promoted: ").alias("noted"),
     )
+
+
+# fixed values: the cut points of the checked tree
+TREE_CUTS = {
+    "amount": (5.0, 10.0, 20.0, 40.0, 60.0, 80.0, 100.0, 120.0, 150.0, 200.0), "hour": tuple(float(h) for h in range(23)),
+    "day_of_week": tuple(float(x) for x in range(6)), "card2": (100.0, 101.0, 102.0, 103.0),
+}
+TREE = DEFAULT.with_(n_trees=1, max_depth=3, learning_rate=0.3, subsample=1.0, column_sample=1.0)
+
+
+def _tree_sql(depth: int, rate: float) -> str:
+    """The first tree level by level: sums of gradients and hessians by (node, feature, cut), the best cut of each node, its children."""
+    cuts = ", ".join(f"({f}, {b}, '{name}', {cut}::DOUBLE)" for f, (name, own) in enumerate(TREE_CUTS.items()) for b, cut in enumerate(own))
+    ctes = [
+        TXN, keyed(), "weight AS (SELECT count(*) FILTER (isFraud = 0) / count(*) FILTER (isFraud = 1)::DOUBLE AS w FROM keyed)",
+        """grad AS (SELECT TransactionID AS id, round(CASE WHEN isFraud = 1 THEN w ELSE 1.0 END * (0.5::DOUBLE - isFraud) * 1048576)::BIGINT AS g,
+  round(CASE WHEN isFraud = 1 THEN w ELSE 1.0 END * 0.25::DOUBLE * 1048576)::BIGINT AS h FROM keyed, weight)""",
+        "cell AS (" + " UNION ALL ".join(f"SELECT TransactionID AS id, {f} AS f, {'TransactionAmt' if n == 'amount' else n}::DOUBLE AS x FROM keyed"
+                                        for f, n in enumerate(TREE_CUTS)) + ")",
+        f"cut AS (SELECT * FROM (VALUES {cuts}) AS v(f, b, feature, cut))", "part0 AS (SELECT id, '' AS path, g, h FROM grad)",
+    ]
+    part = lambda g, h: f"({g} / 1048576.0::DOUBLE) * ({g} / 1048576.0::DOUBLE) / ({h} / 1048576.0::DOUBLE + 1.0)"
+    for d in range(depth):
+        ctes += [
+            f"""sums{d} AS (SELECT path, f, b, feature, cut, sum(g) AS g, sum(h) AS h, coalesce(sum(g) FILTER (x <= cut), 0) AS gl,
+  coalesce(sum(h) FILTER (x <= cut), 0) AS hl FROM part{d} JOIN cell USING (id) JOIN cut USING (f) GROUP BY path, f, b, feature, cut)""",
+            f"""best{d} AS (SELECT *, 0.5 * ({part('gl', 'hl')} + {part('(g - gl)', '(h - hl)')} - {part('g', 'h')}) AS gain FROM sums{d}
+  WHERE hl >= 1048576 AND h - hl >= 1048576 QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, b) = 1)""",
+            f"""part{d + 1} AS (SELECT p.id, p.path || CASE WHEN x <= cut THEN 'l' ELSE 'r' END AS path, p.g, p.h
+  FROM part{d} p JOIN best{d} USING (path) JOIN cell c ON c.id = p.id AND c.f = best{d}.f WHERE gain > 1e-9)""",
+        ]
+    nodes = [f"""SELECT path, {'feature' if d < depth else 'NULL'} AS feature, {'cut' if d < depth else 'NULL'} AS threshold, {'gain' if d < depth else '0'} AS gain, n.h, n.g
+  FROM (SELECT path, sum(g) AS g, sum(h) AS h FROM part{d} GROUP BY path) n""" + (f" LEFT JOIN (SELECT path, feature, cut, gain FROM best{d} WHERE gain > 1e-9) USING (path)" if d < depth else "")
+             for d in range(depth + 1)]
+    return sql(*ctes, "node AS (" + " UNION ALL ".join(nodes) + ")", body=f"""SELECT path, feature, threshold, round(coalesce(gain, 0), 4) AS gain,
+  round(h / 1048576.0::DOUBLE, 4) AS cover, CASE WHEN feature IS NULL THEN round(-{rate}::DOUBLE * (g / 1048576.0::DOUBLE) / (h / 1048576.0::DOUBLE + 1.0), 6) END AS value FROM node""")
+
+
+@query("boosted_first_tree", _tree_sql(TREE.max_depth, TREE.learning_rate))
+def boosted_first_tree(spark, d):
+    """Every node of the first boosted tree on given bins: split, gain, cover, and the value of a leaf."""
+    fitted = boosting.train(light_features(spark, d), list(TREE_CUTS), TREE, list(TREE_CUTS.values()))
+    tree = fitted.trees[0]
+    paths = {0: ""}
+    for n, f in enumerate(tree.feature):
+        if f >= 0:
+            paths |= {tree.left[n]: paths[n] + "l", tree.right[n]: paths[n] + "r"}
+    table = spark.createDataFrame(list(paths.items()), "node int, path string")
+    names = F.element_at(F.array(*[F.lit(f) for f in TREE_CUTS]), F.col("feature") + 1)
+    split = F.col("feature") >= 0
+    return fitted.nodes(spark).join(table, "node").select(
+        "path", F.when(split, names).alias("feature"), "threshold", F.round("gain", 4).alias("gain"), F.round("cover", 4).alias("cover"),
+        F.when(~split, F.round("value", 6)).alias("value"))
+
+
+@query("boosted_scores", sql(TXN, SPLIT, body="SELECT TransactionID, split, true AS follows_nodes FROM split WHERE split <> 'train'"))
+def boosted_scores(spark, d):
+    """Scores of the held-out splits next to whether they are what the saved node table gives, walked by joins level by level."""
+    cfg = DEFAULT.with_(n_trees=10, max_depth=4)
+    rows = stratified_split(light_features(spark, d), cfg.join_key, cfg)
+    features = ["amount", "hour", "day_of_week", "is_weekend", "card1", "card2", "addr1"]
+    rows = rows.withColumns({f: F.col(f).cast("double") for f in features})
+    fitted = boosting.train(rows.where(F.col("split") == "train"), features, cfg)
+    path = shared_path(spark, "booster")
+    fitted.save(spark, path)
+    held = rows.where(F.col("split") != "train")
+    scored = boosting.score(boosting.Booster.load(spark, path), held, ["TransactionID", "split"])
+    nodes = F.broadcast(spark.read.parquet(f"{path}/nodes"))  # the model: at most 10 trees of 31 nodes
+    x = F.map_from_arrays(F.array(*[F.lit(i) for i in range(len(features))]), F.array(*[F.col(f) for f in features]))
+    at = held.select("TransactionID", x.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(cfg.n_trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(cfg.max_depth):
+        left = F.coalesce(F.element_at("x", F.col("feature")) <= F.col("threshold"), F.lit(True))
+        onward = F.when(F.col("feature") < 0, F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
+        at = at.join(nodes.select("tree", "node", "feature", "threshold", "left", "right"), ["tree", "node"]).select("TransactionID", "x", "tree", onward.alias("node"))
+    walked = at.join(nodes.select("tree", "node", "value"), ["tree", "node"]).groupBy("TransactionID").agg(F.sum("value").alias("walked"))
+    return scored.join(walked, "TransactionID").select("TransactionID", "split", _near(F.col("margin"), F.col("walked")).alias("follows_nodes"))
