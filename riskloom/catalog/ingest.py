@@ -10,7 +10,7 @@ from riskloom.functions.scalars import temporal_parts
 from riskloom.operators import cleaning, profile
 from riskloom.plans.ingest import ingest
 from riskloom.session import shared_path
-from riskloom.sources import readers, views
+from riskloom.sources import deltas, readers, views
 
 TXN_COLUMNS = (
     "ingest_seq, TransactionID, TransactionDT, TransactionAmt, ProductCD, card1, card2, card3, card4, card5, card6, "
@@ -49,7 +49,12 @@ def read_json_log(spark, d):
 WHERE TransactionID IS NOT NULL QUALIFY row_number() OVER (PARTITION BY TransactionID ORDER BY ingest_seq DESC) = 1"""))
 def feature_upsert(spark, d):
     writes = views.txn_dirty(spark, d).where("TransactionID is not null").select("TransactionID", "TransactionAmt", "ingest_seq")
-    return cleaning.latest_per_key(writes, "TransactionID", "ingest_seq")
+    path, slices = shared_path(spark, "upserts"), 3
+    for n in range(slices):
+        deltas.append_delta(writes.where(F.pmod(F.xxhash64("ingest_seq"), F.lit(slices)) == n), path, n, "TransactionID", "ingest_seq")
+        if n == 1:
+            deltas.compact(spark, path, "TransactionID", "ingest_seq")
+    return deltas.read_latest(spark, path, "TransactionID", "ingest_seq").drop(deltas.BATCH)
 
 
 # --- validation ------------------------------------------------------------------------------------------

@@ -124,24 +124,55 @@ def stream_score(spark, d):
 
 @query("stream_tumbling_rate", _windows_sql(1))
 def stream_tumbling_rate(spark, d):
-    return _stream_rate(spark, d, "1 hour", None)
-
-
-@query("stream_sliding_rate", _windows_sql(24))
-def stream_sliding_rate(spark, d):
-    return _stream_rate(spark, d, "24 hours", "1 hour")
-
-
-def _stream_rate(spark, d, length, slide):
     """Update-mode stream; the last update of each window stands."""
     log = views.prediction_log_of(_event_stream(spark, d))
     log = log.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", "1 hour")
-    rates = monitor.windowed_rate(log, "timestamp", "prediction", length, slide, stepwise=False)
+    rates = monitor.windowed_rate(log, "timestamp", "prediction", "1 hour", None)
     out = shared_path(spark, "rates")
     jobs.run_each_batch(rates, jobs.batch_sink(out), shared_path(spark, "checkpoint"), "update")
     return windows_out(latest_per_key(spark.read.parquet(out), "window_start", "batch_id"))
 
 
+@query("stream_sliding_rate", _windows_sql(24))
+def stream_sliding_rate(spark, d):
+    """Hourly counts chained into windows of 24 hours, each written once, when the watermark has passed it.
+
+    A row three days behind the last event closes the last windows, as later traffic would; its own windows stay open.
+    """
+    source = shared_path(spark, "source")
+    events = views.events(spark, d)
+    events.coalesce(1).write.mode("append").parquet(source)
+    events.agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts"), F.lit(0).cast("bigint").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit(None).cast("string").alias("props")).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(views.EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    log = views.prediction_log_of(stream).withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", "1 hour")
+    rates = monitor.windowed_rate(log, "timestamp", "prediction", "24 hours", "1 hour")
+    out = shared_path(spark, "rates")
+    jobs.run_to_parquet(rates, out, shared_path(spark, "checkpoint"))
+    return windows_out(spark.read.parquet(out))
+
+
+@query("stream_late_rows", """SELECT count(*) + count(*) FILTER (event_id % 7 = 0 AND epoch_us(ts) > edge) AS taken,
+  count(*) FILTER (event_id % 7 = 0 AND epoch_us(ts) <= edge) AS dropped
+  FROM events, (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 AS edge FROM events)""")
+def stream_late_rows(spark, d):
+    """Every seventh event arrives once more under a new id, after all others: rows taken, and rows dropped behind the watermark.
+
+    A micro-batch drops by the watermark of the one before it, so the newest event comes in between once more; it is a repeat.
+    """
+    events, source = views.events(spark, d).select("event_id", "ts"), shared_path(spark, "source")
+    events.coalesce(1).write.mode("append").parquet(source)
+    events.orderBy(F.desc("ts")).limit(1).write.mode("append").parquet(source)
+    again = events.where(F.col("event_id") % 7 == 0).select((F.col("event_id") + 1_000_000_000_000).alias("event_id"), "ts")
+    again.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = shared_path(spark, "taken")
+    once = payloads.dedupe_stream(stream.withColumn("ts", F.col("ts").cast("timestamp")), "event_id", "ts")
+    dropped = jobs.LateRows().after(spark, lambda: jobs.run_to_parquet(once, out, shared_path(spark, "checkpoint")))
+    return spark.read.parquet(out).agg(F.count("*").alias("taken"), F.lit(dropped).cast("bigint").alias("dropped"))
+
+
 @query("stream_drift", sql(
     TXN, "both_sides AS (SELECT TransactionAmt AS amount, card6, false AS cur FROM txn UNION ALL SELECT TransactionAmt * 1.3::DOUBLE, card6, true FROM txn)",
     *drift_ctes(["amount"], ["card6"]), """lam AS (SELECT *, d * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS l FROM ks)""",

@@ -8,9 +8,11 @@ all history that had arrived, and a retried batch overwrites its own partition.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from riskloom.config import DAY, DEFAULT, Config
 from riskloom.functions.scalars import confidence, decision
@@ -18,7 +20,7 @@ from riskloom.operators.cleaning import dedupe_first
 from riskloom.operators.drift import drift_tests
 from riskloom.plans.features import engineer_features
 from riskloom.sources.readers import path_exists
-from riskloom.sources.sinks import upsert
+from riskloom.sources.deltas import append_delta, take_new
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -49,8 +51,37 @@ def batch_sink(path: str) -> BatchFn:
 
 
 def upsert_sink(path: str, key: str, *order: str) -> BatchFn:
-    """Merge each micro-batch into a table by key; the last write per key wins, so a retry changes nothing."""
-    return lambda batch, batch_id: upsert(batch, path, key, *order)
+    """Upsert each micro-batch by key as a delta of its own (``deltas.read_latest`` reads, ``deltas.compact`` merges)."""
+    return lambda batch, batch_id: append_delta(batch, path, batch_id, key, *order)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that running queries drop behind their watermarks."""
+
+    def __init__(self):
+        self.dropped, self._ended = 0, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped += sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    def after(self, spark: SparkSession, run: Callable[[], None]) -> int:
+        """Rows dropped while ``run`` starts one query and waits for its end."""
+        spark.streams.addListener(self)
+        try:
+            run()
+            self._ended.wait(60)  # events come in order: behind the last progress
+        finally:
+            spark.streams.removeListener(self)
+        return self.dropped
 
 
 # --- point-in-time features ------------------------------------------------------------------------------------
@@ -66,6 +97,8 @@ def feature_batch(cfg: Config, history: str, sink: BatchFn) -> BatchFn:
         day = F.floor(F.col(time) / DAY).cast("int")
         # The id is a primary key: within the batch here, against the stored history below.
         fresh = dedupe_first(batch, cfg.join_key, time).withColumns({"day": day, "batch_id": F.lit(batch_id).cast("bigint")})
+        # A repeat may come long after, or claim an earlier time.
+        fresh = take_new(fresh, f"{history}-ids", cfg.join_key, batch_id)
         past = None
         if path_exists(spark, history):
             span = batch.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).first()
@@ -74,8 +107,6 @@ def feature_batch(cfg: Config, history: str, sink: BatchFn) -> BatchFn:
             first = (span["lo"] - reach) // DAY
             known = spark.read.parquet(history).where(F.col("batch_id") < batch_id)
             past = known.where(F.col("day").between(first, span["hi"] // DAY))
-            # Ids of all days, one column: a repeat may come long after, or claim an earlier time.
-            fresh = fresh.join(known.select(cfg.join_key), cfg.join_key, "left_anti")
         fresh.select(*batch.columns, "batch_id", "day").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id", "day").parquet(history)

@@ -1,10 +1,12 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from riskloom.config import DEFAULT
 from riskloom.plans.features import engineer_features
+from riskloom.sources import deltas
 from riskloom.sources.readers import read_event_stream
 from riskloom.streaming import events, jobs
 
@@ -86,8 +88,41 @@ def test_scores_are_banded(spark, tmp_path):
 
 def test_feature_rows_are_upserted(spark, tmp_path):
     table, source, checkpoint = (str(tmp_path / n) for n in ("t", "s", "c"))
-    for part in ([(1, 0, 1.0, 1, "W"), (2, 5, 1.0, 1, "W")], [(1, 9, 7.0, 1, "W")]):
+    latest = lambda: {r["TransactionID"]: r["TransactionAmt"] for r in deltas.read_latest(spark, table, "TransactionID", "TransactionDT").collect()}
+    parts = [[(1, 0, 1.0, 1, "W"), (2, 5, 1.0, 1, "W")], [(1, 9, 7.0, 1, "W")], [(3, 1, 2.0, 1, "W"), (1, 2, 99.0, 1, "W")]]
+    for n, part in enumerate(parts):
         frame(spark, part).write.mode("append").parquet(source)
         stream = read_event_stream(spark, source, SCHEMA)
         jobs.run_each_batch(stream, jobs.upsert_sink(table, "TransactionID", "TransactionDT"), checkpoint)
-    assert {r["TransactionID"]: r["TransactionAmt"] for r in spark.read.parquet(table).collect()} == {1: 7.0, 2: 1.0}
+        assert sorted(os.listdir(f"{table}/deltas")) == [f"batch_id={k}" for k in range(n + 1)]  # each batch wrote its own
+        assert latest() == [{1: 1.0, 2: 1.0}, {1: 7.0, 2: 1.0}, {1: 7.0, 2: 1.0, 3: 2.0}][n]
+        if n == 0:
+            deltas.compact(spark, table, "TransactionID", "TransactionDT")
+            deltas.append_delta(frame(spark, parts[0]), table, 0, "TransactionID", "TransactionDT")  # a retry of what the base holds
+            assert latest() == {1: 1.0, 2: 1.0}
+    deltas.compact(spark, table, "TransactionID", "TransactionDT")
+    assert latest() == {1: 7.0, 2: 1.0, 3: 2.0} and os.listdir(f"{table}/base") == ["upto=2"]
+
+
+def test_known_ids_read_only_their_partitions(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    take = lambda ids, n: sorted(r["id"] for r in deltas.take_new(spark.createDataFrame([(i,) for i in ids], "id long"), path, "id", n, 16).collect())
+    assert take(range(200), 0) == list(range(200))
+    assert take([5, 300], 1) == [300] and take([5, 300], 1) == [300]  # retried
+    assert take([300, 7, 301], 2) == [301]
+    few = deltas.known_ids(spark.createDataFrame([(5,), (300,)], "id long"), path, "id", 9, 16)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "id_part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {r[0].split("id_part=")[1].split("/")[0] for r in few.select(F.input_file_name()).collect()}
+    assert 1 <= len(read) <= 2
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    source, out, checkpoint = (str(tmp_path / n) for n in ("s", "o", "c"))
+    counts = []
+    for part in ([(1, start), (2, start + timedelta(hours=5))], [(3, start + timedelta(hours=1)), (4, start), (5, start + timedelta(hours=6))]):
+        spark.createDataFrame(part, "id long, ts timestamp").coalesce(1).write.mode("append").parquet(source)
+        once = events.dedupe_stream(read_event_stream(spark, source, "id long, ts timestamp"), "id", "ts")
+        counts.append(jobs.LateRows().after(spark, lambda: jobs.run_to_parquet(once, out, checkpoint)))
+    assert counts == [0, 2]
