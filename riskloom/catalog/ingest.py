@@ -222,3 +222,16 @@ def histogram(spark, d):
 FROM b GROUP BY isFraud, log_bin"""))
 def log_density(spark, d):
     return rounded(profile.log_density(views.txn(spark, d), "isFraud", "TransactionAmt"), "density")
+
+
+@query("kernel_density", sql(TXN, """r AS (SELECT isFraud, log10(TransactionAmt) AS x FROM txn WHERE TransactionAmt > 0)""",
+  """e AS (SELECT isFraud, n, h, lo - 3.0::DOUBLE * h AS start, (hi - lo + 6.0::DOUBLE * h) / 1024 AS step FROM (
+  SELECT isFraud, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2::DOUBLE) AS h, min(x) AS lo, max(x) AS hi FROM r GROUP BY isFraud))""",
+  """p AS (SELECT isFraud, (x - start) / step AS pos FROM r JOIN e USING (isFraud))""",
+  """w AS (SELECT isFraud, place, sum(w) AS w FROM (SELECT isFraud, floor(pos) AS place, 1 - (pos - floor(pos)) AS w FROM p
+  UNION ALL SELECT isFraud, floor(pos) + 1, pos - floor(pos) FROM p) GROUP BY isFraud, place)""",
+  body="""SELECT isFraud, k AS point, round(start + k * (1024 / 199.0::DOUBLE) * step, 6) AS log_value,
+  round(sum(exp(-0.5::DOUBLE * pow((k * (1024 / 199.0::DOUBLE) - place) * step / h, 2)) * w) / (n * h * sqrt(2 * pi())), 6) AS density
+  FROM w JOIN e USING (isFraud), (SELECT unnest(range(0, 200))::INT AS k) GROUP BY isFraud, k, start, step, n, h"""))
+def kernel_density(spark, d):
+    return rounded(profile.kernel_density(views.txn(spark, d), "isFraud", "TransactionAmt"), "log_value", "density")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import query
 from riskloom.catalog.sql import SCORED, SPLIT, TXN, h32, h60, keyed, sql, u
 from riskloom.functions import scalars
-from riskloom.operators import cleaning, encode, monitor, neighbours, sampling
+from riskloom.operators import cleaning, encode, monitor, neighbours, projections, sampling
 from riskloom.plans.features import add_temporal
 from riskloom.sources import readers, views
 
@@ -250,6 +250,18 @@ def minority_knn(spark, d):
     return found.select("id", "rank", F.round("distance", 6).alias("distance"))
 
 
+@query("approximate_knn")
+def approximate_knn(spark, d):
+    """Five near rows of every positive over all encoded columns, by random projections; recall is held against the exact join in tests."""
+    from riskloom.catalog.models import SMALL_MODEL, light_features
+    from riskloom.plans.train import prepare
+
+    processed, params = prepare(light_features(spark, d), SMALL_MODEL)
+    vector = F.array(*[F.col(f"`{c}`").cast("double") for c in params.features])
+    points = processed.where(F.col("isFraud") == 1).select(F.col("TransactionID").alias("id"), vector.alias("vec"))
+    return projections.approximate_nearest(points, 5).select("id", "rank", "neighbour", F.round("distance", 6).alias("distance"))
+
+
 SMOTE_SQL = sql(
     TXN, f"""m AS (SELECT TransactionID AS id, TransactionAmt / 100.0 AS a, TransactionDT / 864000.0 AS b,
   row_number() OVER (ORDER BY {h32('smote-base', 'TransactionID')}, TransactionID) - 1 AS i FROM txn WHERE isFraud = 1)""",

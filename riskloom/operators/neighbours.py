@@ -70,13 +70,17 @@ class _Cells:
         return (plane <= reach) & (to_pivot - self.high <= reach) & (self.low - to_pivot <= reach) & (self.blocks > 0)
 
 
-def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
-    """``points`` (id, vec) -> (id, rank, neighbour, distance), the k nearest other rows, ties by id."""
-    id_type = points.schema["id"].dataType.simpleString()
+def _collapsed(points: DataFrame, k: int) -> DataFrame:
+    """Each vector once, with its k + 1 smallest ids."""
     kept = _first_k(points.select("id", "vec"), ["vec"], k + 1, "id")
     once = kept.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("members"))  # at most k + 1 ids
-    once = settle(once.select(F.col("members")[0].alias("vid"), "vec", "members"), "knn-points")
+    return settle(once.select(F.col("members")[0].alias("vid"), "vec", "members"), "knn-points")
 
+
+def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
+    """``points`` (id, vec) -> (id, rank, neighbour, distance), the k nearest other rows, ties by id."""
+    id_type = points.schema["id"].dataType.simpleString()
+    once = _collapsed(points, k)
     n = once.count()
     if n == 0:
         return points.sparkSession.createDataFrame([], f"id {id_type}, rank int, neighbour {id_type}, distance double")
@@ -154,7 +158,11 @@ def nearest(points: DataFrame, k: int, block_rows: int = 4096, pivots: int | Non
     candidates = questions.groupBy(*by).cogroup(data.groupBy(*by)).applyInPandas(
         compare, f"vid {id_type}, other {id_type}, distance double"
     )
-    best = _first_k(candidates, ["vid"], k + 1, "distance", "other")
+    return _expanded(points, once, _first_k(candidates, ["vid"], k + 1, "distance", "other"), k)
+
+
+def _expanded(points: DataFrame, once: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """Neighbours of collapsed rows (vid, other, distance) as neighbours of all rows."""
     named = best.join(once.select(F.col("vid").alias("other"), "members"), "other")
     lists = named.groupBy("vid").agg(F.collect_list(F.struct("distance", "members")).alias("near"))  # k + 1 entries
     by_vector = once.select("vid", "vec").join(lists, "vid").select("vec", "near")
