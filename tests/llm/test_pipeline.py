@@ -29,13 +29,14 @@ def test_stages_take_empty_documents(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_thirteen_queries_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", [n for n in contract.oracle_sql() if n.startswith("op") and n[2].isdigit()])
 def test_check_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "conversations", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     assert canonical(fetched(contract.queries()[name](spark, SF))) == canonical(con.execute(contract.oracle_sql()[name]).df())
