@@ -84,6 +84,24 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op10_rule_ledger": r"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+        window3 AS (SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+        again AS (SELECT r, i FROM window3 QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+        covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+        m AS (SELECT t.r, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda v: length(v))), 0)::BIGINT AS word_chars,
+                len(regexp_extract_all(x, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                coalesce(covered.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+                len(list_filter(w, lambda v: regexp_matches(v, '[A-Z]') AND NOT regexp_matches(v, '[a-z]') AND octet_length(encode(v)) > 1)) AS n_upper_words,
+                coalesce(list_max(list_transform(w, lambda v: octet_length(encode(v)))), 0) AS longest_word
+              FROM t LEFT JOIN covered ON covered.r = t.r),
+        f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (10 * n_symbols > 3 * n_words)::BIGINT
+                + 8 * (100 * n_dup_lines > 30 * n_lines)::BIGINT + 16 * (2 * n_upper_words > n_words)::BIGINT
+                + 32 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::BIGINT + 64 * (longest_word > 1000)::BIGINT AS failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper_words, longest_word, failed,
+          failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f""",
     "op12_conversation_trie": f"""
         WITH t AS (SELECT conv_id, turn, {{'k': sha256(sha256(coalesce(role, '')) || coalesce(text, '')), 'b': octet_length(encode(coalesce(text, '')))}} AS x
                    FROM conversations WHERE conv_id IS NOT NULL),
