@@ -206,18 +206,21 @@ def predict(model: Model, texts: list[str]) -> list[tuple[str, float]]:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[bytes], list[str]]:
-    """Windows of a bounded sample of labelled learning documents: at most SAMPLE_DOCS for each language, drawn by a hash of the id."""
+    """Windows of a bounded sample of labelled learning documents: at most SAMPLE_DOCS for each language, drawn by a hash of id and text.
+
+    Equal rows are collapsed before anything is collected, so a repeated id or text, or many rows without an id, weigh as what they say.
+    """
     learn = (docs.filter((fold(id_col, 4) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     counts = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return [], []
     span = 1 << 30
-    draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(span))
+    draw = F.pmod(F.xxhash64("id", "text", F.lit(SEED)), F.lit(span))
     below = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(span, span * 3 * SAMPLE_DOCS // (2 * n))))])
     window = lambda k: F.substr("text", (F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
     drawn = (learn.withColumn("draw", draw).filter(F.col("draw") < below[F.col("lang")])
-             .select("lang", "draw", "id", F.array(*[window(k) for k in range(SAMPLE_WINDOWS)]).alias("windows")).collect())
+             .select("lang", "draw", "id", F.array(*[window(k) for k in range(SAMPLE_WINDOWS)]).alias("windows")).distinct().collect())
     windows, labels, taken = [], [], dict.fromkeys(counts, 0)
     for r in sorted(drawn, key=lambda r: (r.lang, r.draw, str(r.id), r.windows)):
         if taken[r.lang] < SAMPLE_DOCS:

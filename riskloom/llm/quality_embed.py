@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import fold, fresh, in_blocks, ship
@@ -21,7 +21,7 @@ from riskloom.llm.common import fold, fresh, in_blocks, ship
 #: log2 of the buckets for words and for n-grams; n-gram lengths in bytes; vector length.
 BITS, GRAMS, SIZE = 16, (3, 4), 8
 #: The training sample: documents, and characters of each (longer ones: a window at a hashed place).
-SAMPLE_DOCS, SAMPLE_CHARS = 2400, 8000
+SAMPLE_DOCS, SAMPLE_CHARS, ROWS_OF_ID = 2400, 8000, 4
 EPOCHS, RATE, SEED, ACCEPT = 6, 0.5, 11, 0.7
 PART_BYTES = 1 << 18
 
@@ -142,17 +142,25 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Learn from about SAMPLE_DOCS labelled documents outside the held-out fold, drawn by a hash of the id."""
+    """Learn from at most SAMPLE_DOCS labelled documents outside the held-out fold, drawn by hashes of id and text.
+
+    What reaches the driver is bounded whatever repeats: repeated labels and equal rows are collapsed, at most twice SAMPLE_DOCS ids
+    are drawn, and ROWS_OF_ID rows of each.
+    """
     ship(docs.sparkSession)
     learn = (labels.filter((fold(id_col, 4) != 2) & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
              .select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("y")))
     span, n = 1 << 30, learn.count()
     draw = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(span))
     drawn = learn.withColumn("draw", draw).filter(F.col("draw") < F.lit(min(span, span * 5 * SAMPLE_DOCS // (4 * max(n, 1)))))
+    drawn = drawn.distinct().orderBy("draw", "key", "y").limit(2 * SAMPLE_DOCS)
     text = F.coalesce(F.col(text_col), F.lit(""))
     place = F.pmod(F.col("draw"), F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1) + 1
     rows = (docs.join(F.broadcast(drawn), F.col(id_col) == F.col("key"))
-            .select("draw", "key", "y", F.substr(text, place.cast("int"), F.lit(SAMPLE_CHARS)).alias("t")).collect())
+            .select("draw", "key", "y", F.xxhash64("key", text).alias("h"), F.substr(text, place.cast("int"), F.lit(SAMPLE_CHARS)).alias("t")))
+    # Spark cuts each task's rows of an id before they are shuffled.
+    order = F.row_number().over(Window.partitionBy("key", "y").orderBy("h"))
+    rows = rows.withColumn("k", order).filter(F.col("k") <= ROWS_OF_ID).drop("k").distinct().collect()
     rows = sorted(rows, key=lambda r: (r.draw, str(r.key), r.y, r.t))[:SAMPLE_DOCS]
     return fit([r.t.encode() for r in rows], [r.y for r in rows])
 
