@@ -154,7 +154,7 @@ def load_config(path: str | Path) -> Config:
 
     file = Path(path)
     if not file.exists():
-        raise FileNotFoundError(f"Config file not found: {file}")
+        raise FileNotFoundError(f"There is no configuration at {file}")
     text = file.read_text(encoding="utf-8")
     try:
         import yaml

@@ -56,11 +56,15 @@ def with_promotions(registry: DataFrame, promotions: DataFrame) -> DataFrame:
     return joined.withColumn("is_production", state).select(*registry.columns)
 
 
+#: How the note of a run begins that the gate denied.
+DENIED = "Denied by the gate: "
+
+
 def retrain_gate(
     log: DataFrame, now: Column, min_hours: float = 6.0, max_per_day: int = 3, count_failures: bool = True,
 ) -> DataFrame:
     """Whether retraining may run at ``now``: the last run and all runs of the day before; an empty log allows it."""
-    rows = log if count_failures else log.where(~F.startswith("notes", F.lit("Rate limit check failed")))
+    rows = log if count_failures else log.where(~F.startswith("notes", F.lit(DENIED)))
     gap = F.expr(f"interval {int(min_hours * 3600)} seconds")
     state = rows.agg(
         F.max("timestamp").alias("last_run"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -49,12 +50,17 @@ def register(spark: SparkSession, work_dir: str, cfg: Config, run_id: str, score
         event.write.mode("append").parquet(f"{work_dir}/promotions")
 
 
+def new_run_id(now: datetime) -> str:
+    """The time, and a few random digits so that runs of one moment differ."""
+    return f"run-{now:%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
 def train_job(spark: SparkSession, work_dir: str, cfg: Config = DEFAULT, promote: bool = True, now: datetime | None = None) -> str:
     """Train on the processed table, save and register the model with its validation and test scores. The run id."""
     now = now or datetime.now()
     processed, params = load_processed(spark, work_dir)
     fitted = fit(processed, params, cfg)
-    run_id = f"run-{now:%Y%m%d%H%M%S%f}"
+    run_id = new_run_id(now)
     path = f"{work_dir}/models/{run_id}"
     model.save_model(fitted, path)
     params.save(spark, f"{path}-preprocess")
@@ -178,14 +184,14 @@ def retrain(
             cfg.max_retrains_per_day, cfg.count_failures,
         ).first()
         if not gate["allowed"]:
-            return log_run(spark, log, now, reason, 0.0, 0.0, False, f"Rate limit check failed: {gate['reason']}", now)
+            return log_run(spark, log, now, reason, 0.0, 0.0, False, registry.DENIED + gate["reason"], now)
 
     rows = cleaned
     if batch_dir and readers.path_exists(spark, batch_dir):
         rows = readers.union_training(cleaned, [readers.read_batches(spark, batch_dir)])
     processed, params = prepare(settle(engineer_features(rows, cfg), "engineered"), cfg)
     fitted = fit(processed, params, cfg)
-    run_id = f"run-{now:%Y%m%d%H%M%S%f}"
+    run_id = new_run_id(now)
     path = f"{work_dir}/models/{run_id}"
     model.save_model(fitted, path)
     params.save(spark, f"{path}-preprocess")

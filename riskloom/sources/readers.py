@@ -31,10 +31,10 @@ def split_paths(spark: SparkSession, raw_dir: str, split: str, cfg: Config = DEF
         "test": (cfg.test_transaction_file, cfg.test_identity_file),
     }
     if split not in files:
-        raise DataValidationError(f"Unsupported split: {split}")
+        raise DataValidationError(f"No files are named for split {split!r}; there are {sorted(files)}")
     transactions, identity = (f"{raw_dir}/{name}" for name in files[split])
     if not path_exists(spark, transactions):
-        raise FileNotFoundError(f"Transaction file not found: {transactions}")
+        raise FileNotFoundError(f"The split {split!r} has no transactions at {transactions}")
     return transactions, identity
 
 

@@ -67,7 +67,7 @@ def test_all_null_amounts_fail(spark, tmp_path):
 
 
 def test_split_paths(spark, tmp_path):
-    with pytest.raises(DataValidationError, match="Unsupported split"):
+    with pytest.raises(DataValidationError, match="No files are named"):
         readers.split_paths(spark, str(tmp_path), "other")
     with pytest.raises(FileNotFoundError):
         readers.split_paths(spark, str(tmp_path), "train")

@@ -100,7 +100,7 @@ def test_drift_retrain_promote_and_gate(spark, rows, tmp_path):
     assert len(current) == 1 and current[0]["f1_score"] == first["new_f1"]
     assert spark.read.parquet(f"{folder}/drift_log").count() >= 4
     denied = jobs.retrain(spark, rows, folder, CFG, now=now + timedelta(hours=1)).first()
-    assert not denied["promoted"] and denied["notes"].startswith("Rate limit check failed")
+    assert not denied["promoted"] and denied["notes"].startswith("Denied by the gate")
     assert jobs.production_registry(spark, folder).count() == 1
     forced = jobs.retrain(spark, rows, folder, CFG, force=True, now=now + timedelta(hours=2), batch_dir=batches).first()
     assert forced["old_f1"] == first["new_f1"]

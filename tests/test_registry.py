@@ -30,7 +30,7 @@ def test_gate_counts_every_run_of_the_day(spark):
 
 
 def test_gate_can_ignore_denied_runs(spark):
-    notes = {1: "Rate limit check failed: too_recent"}
+    notes = {1: "Denied by the gate: too_recent"}
     assert gate(spark, [10, 1], notes) == (False, "too_recent")
     assert gate(spark, [10, 1], notes, count_failures=False) == (True, "")
 
