@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import content_sort, harmonic, near_copies, quality_embed, secret_links
+from riskloom.llm import content_sort, harmonic, quality_embed, secret_links, simhash_similar
 from riskloom.llm.common import read
 from riskloom.session import discard, shared_path
 
@@ -26,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts that share four fifths of their five-word shingles stays: the smallest id's. All texts
-    without words are one group."""
-    return near_copies.one_of_each(docs)
+    without words are one group. SimHash fingerprints are joined in tries, the exact similarity confirms their links."""
+    return simhash_similar.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

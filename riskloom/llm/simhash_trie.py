@@ -55,15 +55,15 @@ def fingerprint(text: Column, words: int = WORDS) -> Column:
     return prints(text)
 
 
-def linked(prints: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of distinct sorted fingerprints within the budget, as positions, by following pairs of trie nodes.
+def linked(prints: np.ndarray, budget: int = BUDGET, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of distinct sorted fingerprints of so many bits within the budget, as positions, by following pairs of trie nodes.
 
     A node is a range of the sorted array. A pair of two single fingerprints is settled by counting their differing bits.
     """
     found: list[tuple[np.ndarray, np.ndarray]] = []
     start = np.zeros((1, 5), np.int64)
     start[0] = 0, len(prints), 0, len(prints), 0
-    todo = [(start, BITS - 1)]
+    todo = [(start, bits - 1)]
     while todo:
         pairs, bit = todo.pop()
         while len(pairs):
@@ -116,9 +116,9 @@ def forest(count: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, i
     return [(x, find(x)) for x in range(count) if root[x] != x]
 
 
-def _thirds(mask: int) -> list[int]:
+def _thirds(mask: int, bits: int = BITS) -> list[int]:
     """The mask with one of three blocks of the free bits fixed as well, for each block."""
-    free = [1 << b for b in range(BITS) if not mask >> b & 1]
+    free = [1 << b for b in range(bits) if not mask >> b & 1]
     n = len(free)
     return [mask | sum(free[n * k // (BUDGET + 1):n * (k + 1) // (BUDGET + 1)]) for k in range(BUDGET + 1)]
 
