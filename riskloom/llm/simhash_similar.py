@@ -9,6 +9,10 @@ are compared; their budget lies some standard deviations above the share, random
 A node gives a spanning forest of its near entries, so a large group costs links in its size, and each link is confirmed by the
 exact similarity. Where one is refused, entries of the forest may still be linked some other way: all near pairs between
 entries that are not connected yet are then compared in a second join by wider fingerprints. No met pair is left out.
+
+A crowd of texts just below the similarity has such pairs in the square of its size, so they are settled inside the node: each entry
+brings the bins of its shingles, and every bin in which two sets differ proves a shingle that only one of them has. A pair that has
+more of these than the similarity allows gives no row; that refuses no pair of the similarity, whatever the shingles.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ BLOCKS = _thirds(0, BITS)
 SLACK, FIRST_SLACK = {NARROW: 5, WIDE: 4}, 6
 #: Entry pairs compared at once; nodes with more pairs than this first take off the balls around their commonest entries.
 PAIRS = 1 << 20
+#: Least number of bins of a set, and bytes of bins compared at once.
+BINS, BIN_BYTES = 64, 1 << 24
 _RNG = np.random.default_rng(SEED)
 FLIPS = _RNG.integers(0, 1 << 63, WIDE // 64, dtype=np.uint64)
 SECOND = np.uint64(0xD1B54A32D192ED03)
@@ -90,6 +96,45 @@ def _wider(sets: Column) -> Column:
     return wide(sets)
 
 
+def binned(own: np.ndarray) -> bytes:
+    """A byte for each bin, as many as a power of two that is not below the shingles: the exclusive or of a byte of each hash in it.
+
+    Halves of the bins laid over each other by exclusive or are the bins of half the number.
+    """
+    bins = np.zeros(max(BINS, 1 << (len(own) - 1).bit_length()), np.uint8)
+    np.bitwise_xor.at(bins, (own & np.uint64(len(bins) - 1)).astype(np.int64), (own >> np.uint64(56)).astype(np.uint8))
+    return bins.tobytes()
+
+
+def _binned(sets: Column) -> Column:
+    @F.arrow_udf("binary")
+    def bins(column: pa.Array) -> pa.Array:
+        return pa.array([binned(own.values.to_numpy().view(np.uint64)) for own in column], pa.binary())
+
+    return bins(sets)
+
+
+def allowed(bins: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similar: float) -> np.ndarray:
+    """Whether pairs of sets may have the similarity s: at most (1 - s) / (1 + s) of their sizes' sum are shingles of one set only.
+
+    Each differing bin holds one of these at least, so a pair that is not allowed is not similar.
+    """
+    most = (sizes[left] + sizes[right]) * (1 - similar) / (1 + similar) + 1e-6
+    good = np.abs(sizes[left] - sizes[right]) <= most
+    widths = np.array([len(b) for b in bins])
+    common = np.minimum(widths[left], widths[right])
+    for width in np.unique(common[good]).tolist():
+        pairs = np.flatnonzero(good & (common == width))
+        held, place = np.unique(np.concatenate([left[pairs], right[pairs]]), return_inverse=True)
+        folded = np.array([np.bitwise_xor.reduce(np.frombuffer(bins[k], np.uint8).reshape(-1, width), axis=0) for k in held.tolist()])
+        x, y = place.reshape(2, -1)
+        step = max(1, BIN_BYTES // width)
+        for k in range(0, len(pairs), step):
+            off = np.count_nonzero(folded[x[k:k + step]] != folded[y[k:k + step]], axis=1)
+            good[pairs[k:k + step]] = off <= most[pairs[k:k + step]]
+    return good
+
+
 def _parts(prints: np.ndarray, tries: slice = slice(TRIES)) -> np.ndarray:
     """The number each part of a fingerprint (a row of bytes) makes, a column for each trie."""
     bits = np.unpackbits(prints, axis=1)[:, :NARROW].reshape(len(prints), TRIES, BITS)[:, tries]
@@ -241,7 +286,10 @@ def open_links(roots: np.ndarray, prints: np.ndarray, parts: np.ndarray, trie: i
 
 
 def _joined(entries: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) with a > b of (mark, print) entries that meet in a trie; of (mark, print, root) all pairs of unequal roots."""
+    """Pairs (a, b) with a > b of (mark, print) entries that meet in a trie.
+
+    Of (mark, print, root, bins, size) entries all pairs of unequal roots whose bins allow the similarity.
+    """
     rooted = "root" in entries.columns
 
     def pairs(node: pa.Table) -> pa.Table:
@@ -256,6 +304,8 @@ def _joined(entries: DataFrame, similar: float) -> DataFrame:
             marks, prints, parts = marks[order], np.ascontiguousarray(prints[order]).view(np.uint64), parts[order]
             if rooted:
                 found = open_links(node.column("root").to_numpy()[order], prints, parts, trie, block, similar)
+                bins, sizes = node.column("bins").take(order).to_pylist(), node.column("size").to_numpy()[order]
+                found = [tuple(f[allowed(bins, sizes, *link[:2], similar)] for f in link) for link in found]
             else:
                 found = forest_links(marks, prints, parts[:, 0], block, similar)
             if found:
@@ -266,6 +316,14 @@ def _joined(entries: DataFrame, similar: float) -> DataFrame:
     return _entered(entries).groupBy("node").applyInArrow(pairs, "a bigint, b bigint").distinct()
 
 
+def _open_roots(refused: DataFrame, linked_entries: DataFrame) -> DataFrame:
+    """Roots with a refused link to another root. The forests connect all near entries, so no other root has a near entry outside it."""
+    root = lambda end: linked_entries.select(F.col("a").alias(end), F.col("b").alias(f"{end}_root"))
+    ends = refused.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    ends = ends.select(F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y")).filter("x != y")
+    return ends.select(F.explode(F.array("x", "y")).alias("root")).distinct()
+
+
 def stars(docs: DataFrame, table: DataFrame, text_col: str, words: int, similar: float) -> DataFrame:
     """(a, b): the smallest entry b of the component of each entry a that is not it. ``table`` has row marks, entries, fingerprints."""
     tables = _Tables()
@@ -280,12 +338,16 @@ def stars(docs: DataFrame, table: DataFrame, text_col: str, words: int, similar:
     sets = tables.settle(sets.dropDuplicates(["mark"]).select("mark", _sets(F.col("t"), words).alias("own")), "shingle-sets")
     found = tables.settle(_confirmed(pairs, sets, similar), "confirmed")
     refused = tables.settle(pairs.join(found, ["a", "b"], "left_anti"), "refused")
-    if not refused.isEmpty():
-        rooted = sets.join(components(found).select(F.col("a").alias("mark"), F.col("b").alias("root")), "mark", "left")
-        rooted = tables.settle(rooted.select("mark", _wider(F.col("own")).alias("print"), F.coalesce("root", "mark").alias("root")), "open-entries")
-        more = tables.settle(_joined(rooted, similar).join(refused, ["a", "b"], "left_anti"), "open-links")
-        found = found.unionByName(_confirmed(more, sets, similar))
     linked_entries = components(found)
+    if not refused.isEmpty():
+        rooted = sets.join(linked_entries.select(F.col("a").alias("mark"), F.col("b").alias("root")), "mark", "left")
+        rooted = rooted.select("mark", "own", F.coalesce("root", "mark").alias("root"))
+        opened = rooted.join(_open_roots(refused, linked_entries), "root", "left_semi")
+        opened = opened.select("mark", "root", _wider(F.col("own")).alias("print"), _binned(F.col("own")).alias("bins"), F.size("own").alias("size"))
+        opened = tables.settle(opened, "open-entries")
+        more = tables.settle(_joined(opened, similar).join(refused, ["a", "b"], "left_anti"), "open-links")
+        # The stars stand for the links found before: they connect the same entries.
+        linked_entries = components(linked_entries.unionByName(_confirmed(more, sets, similar)))
     tables.discard(docs.sparkSession)
     return linked_entries
 

@@ -131,6 +131,41 @@ def test_a_large_group_of_near_copies_costs_links_in_its_size(spark):
     assert kept(spark, texts) == [0]
 
 
+def test_a_crowd_just_below_the_similarity_costs_no_pairs(spark, monkeypatch):
+    """Texts of two changed words share about three quarters with each other; texts of one change connect with some of them."""
+    rng = random.Random(8)
+    base = [f"c{i}" for i in range(150)]
+    texts = [" ".join(changed(rng, base, 2 if k % 20 else 1)) for k in range(240)]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    low = lowest(len(texts), pairs)
+    checked, confirmed = [], simhash_similar._confirmed
+    monkeypatch.setattr(simhash_similar, "_confirmed", lambda found, sets, similar: checked.append(found.count()) or confirmed(found, sets, similar))
+    assert kept(spark, texts) == sorted(set(low))
+    assert len(checked) == 2 and checked[1] <= 2 * len(texts)
+
+
+def crossing(rng, both, left, right):
+    own = rng.integers(0, 1 << 63, both + left + right, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, both + left + right, dtype=np.uint64)
+    return np.sort(own[:both + left]), np.sort(np.concatenate([own[:both], own[both + left:]]))
+
+
+@pytest.mark.parametrize("nbytes", [100, 1 << 24])
+def test_bins_refuse_no_pair_of_the_similarity(monkeypatch, nbytes):
+    monkeypatch.setattr(simhash_similar, "BIN_BYTES", nbytes)
+    rng = np.random.default_rng(4)
+    # (shared, only left, only right): the last have widths of one bin count and its double
+    shapes = [(4, 0, 1), (4, 1, 0), (1, 0, 0), (8, 1, 1), (80, 10, 10), (800, 200, 0), (4000, 500, 500), (64, 0, 16), (60, 0, 10), (250, 6, 56)]
+    sets = [s for _ in range(20) for shape in shapes for s in crossing(rng, *shape)]
+    bins, sizes = [simhash_similar.binned(s) for s in sets], np.array([len(s) for s in sets])
+    left = np.arange(0, len(sets), 2)
+    assert simhash_similar.allowed(bins, sizes, left, left + 1, 0.8).all() and simhash_similar.allowed(bins, sizes, left + 1, left, 0.8).all()
+    assert not simhash_similar.allowed(bins, sizes, left[:-1], left[:-1] + 3, 0.8).any()  # sets of other draws
+    below = [s for _ in range(50) for s in crossing(rng, 126, 20, 20)]  # 0.76
+    bins, sizes, left = [simhash_similar.binned(s) for s in below], np.array([len(s) for s in below]), np.arange(0, len(below), 2)
+    assert simhash_similar.allowed(bins, sizes, left, left + 1, 0.8).mean() < 0.3
+    assert len(simhash_similar.allowed(bins, sizes, left[:0], left[:0], 0.8)) == 0
+
+
 def test_parts_of_a_trie_join_leave_op7_as_it_is():
     text = "one two three four five"
     own = [xxhash.xxh64_intdigest(s, 42) for s in (b"one two three", b"two three four", b"three four five")]
