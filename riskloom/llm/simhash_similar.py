@@ -342,7 +342,8 @@ def stars(docs: DataFrame, table: DataFrame, text_col: str, words: int, similar:
     if not refused.isEmpty():
         rooted = sets.join(linked_entries.select(F.col("a").alias("mark"), F.col("b").alias("root")), "mark", "left")
         rooted = rooted.select("mark", "own", F.coalesce("root", "mark").alias("root"))
-        opened = rooted.join(_open_roots(refused, linked_entries), "root", "left_semi")
+        # Written first, so that Spark can split the join at the root of a large group.
+        opened = rooted.join(tables.settle(_open_roots(refused, linked_entries), "open-roots"), "root", "left_semi")
         opened = opened.select("mark", "root", _wider(F.col("own")).alias("print"), _binned(F.col("own")).alias("bins"), F.size("own").alias("size"))
         opened = tables.settle(opened, "open-entries")
         more = tables.settle(_joined(opened, similar).join(refused, ["a", "b"], "left_anti"), "open-links")
